@@ -1,0 +1,85 @@
+"""Run registered queries in Spark and their SQL in DuckDB, and compare.
+
+``python tests/oracle_compare.py [key-prefix ...]`` prints one line per key.
+"""
+
+from __future__ import annotations
+
+import os
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER",
+                 "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE",
+                 "timestamp": "TIMESTAMP"}
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _sortable(row: tuple) -> tuple:
+    return tuple((v is not None, str(type(v)), v) if not isinstance(v, float)
+                 else (True, "float", repr(v)) for v in row)
+
+
+def difference(df, con, sql: str) -> str | None:
+    """None when names, types, row count and all values agree exactly."""
+    names = sorted(df.columns)
+    cur = con.execute(sql)
+    duck_types = {d[0]: str(d[1]) for d in cur.description}
+    expected = cur.fetchall()
+    if names != sorted(duck_types):
+        return f"columns {names} != {sorted(duck_types)}"
+    for field in df.schema.fields:
+        want = SPARK_TO_DUCK.get(field.dataType.simpleString(), field.dataType.simpleString())
+        if duck_types[field.name] != want:
+            return f"type of {field.name}: {want} != {duck_types[field.name]}"
+    order = [list(duck_types).index(n) for n in names]
+    right = sorted((tuple(r[i] for i in order) for r in expected), key=_sortable)
+    left = sorted((tuple(r) for r in df.select(*(f"`{n}`" for n in names)).collect()),
+                  key=_sortable)
+    if len(left) != len(right):
+        return f"rows {len(left)} != {len(right)}"
+    wrong = [(a, b) for a, b in zip(left, right) if a != b]
+    return f"{len(wrong)} rows differ, first {wrong[0]} of {names}" if wrong else None
+
+
+def main() -> int:
+    import __spark_entry__ as entry
+    from medallion.session import get_spark
+
+    sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
+    spark = get_spark(master="local[8]", spark__sql__shuffle__partitions=8,
+                      spark__ui__enabled="false", spark__driver__memory="8g")
+    spark.sparkContext.setLogLevel("OFF")
+    con, sqls, failed = duck(sf), entry.oracle_sql(), 0
+    for key, query in entry.queries().items():
+        if sys.argv[1:] and not key.startswith(tuple(sys.argv[1:])):
+            continue
+        start = time.time()
+        try:
+            df = query(spark, sf)
+            verdict = difference(df, con, sqls[key]) if key in sqls else f"rows {df.count()}"
+        except Exception as e:
+            verdict = f"{type(e).__name__}: {str(e)[:400]}"
+        failed += verdict is not None and key in sqls
+        print(f"{'ok  ' if verdict is None else 'DIFF'} {time.time() - start:6.2f}s {key}"
+              f"{'' if verdict is None else '  ' + verdict}", flush=True)
+    print("failed:", failed)
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(min(main(), 1))
