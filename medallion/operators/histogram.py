@@ -28,16 +28,16 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Columns ``bin, bin_start, bin_end, frequency``; empty bins are kept."""
     x = F.col(value).cast("double")
     span = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
-    low, high = _edges(span["lo"], span["hi"])
+    low, high = _edges(F.col("_span.lo"), F.col("_span.hi"))
     width = (high - low) / bins
-    counts = (df.where(x.isNotNull())
-              .select(_bin_of(x, low, width, bins).cast("bigint").alias("bin"))
+
+    rows = df.where(x.isNotNull()).select(x.alias("_x"), span.alias("_span"))
+    counts = (rows.select(_bin_of(F.col("_x"), low, width, bins).cast("bigint").alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("frequency")))
-    all_bins = df.sparkSession.range(bins).select(
-        F.col("id").alias("bin"),
-        (low + F.col("id") * width).alias("bin_start"),
-        (low + (F.col("id") + 1) * width).alias("bin_end"),
-    ).where(low.isNotNull())
+    frame = df.sparkSession.range(bins).select(F.col("id").alias("bin"), span.alias("_span"))
+    all_bins = frame.where(F.col("_span.lo").isNotNull()).select(
+        "bin", (low + F.col("bin") * width).alias("bin_start"),
+        (low + (F.col("bin") + 1) * width).alias("bin_end"))
     return all_bins.join(counts, "bin", "left").select(
         "bin", "bin_start", "bin_end",
         F.coalesce("frequency", F.lit(0)).cast("bigint").alias("frequency"))

@@ -13,8 +13,11 @@ tied rows, so a single value shared by a third of all rows still spreads out.
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,22 +109,29 @@ def number_rows(df: DataFrame, keys: Sequence[str], newest_first: str, tie: str,
 
 def _cut_points(df: DataFrame, column: str, cuts: int) -> list[float]:
     """At most ``cuts`` approximate quantiles, read to the driver as one row."""
-    shares = [i / (cuts + 1) for i in range(1, cuts + 1)]
-    found = df.agg(
-        F.percentile_approx(F.col(column).cast("double"), shares, cuts * 10)
-    ).first()[0]
-    return sorted(set(found or []))
+    shares = ", ".join(f"{i / (cuts + 1)!r}D" for i in range(1, cuts + 1))
+    found = df.select(F.col(column).cast("double").alias("x")).agg(
+        F.expr(f"percentile_approx(x, array({shares}), {cuts * 10})")).first()[0]
+    return sorted({p for p in found or [] if math.isfinite(p)})
 
 
-def _count_below(cuts: Column, n_cuts: int, value: Column) -> Column:
-    """How many cut points are below ``value``: binary search, log2(n) steps."""
-    step, steps = 1, []
-    while step <= n_cuts:
-        steps.insert(0, step)
-        step *= 2
-    return F.aggregate(
-        F.array(*(F.lit(s) for s in steps)), F.lit(0),
-        lambda pos, s: pos + F.when(F.get(cuts, pos + s - 1) < value, s).otherwise(F.lit(0)))
+def _bucket(df: DataFrame, order: str, tie: str, points: list[float]) -> DataFrame:
+    """Add ``_bucket``, a BIGINT that sorts like ``order`` and then ``md5(tie)``.
+
+    A bucket holds either the rows equal to one cut point (or NULL, or NaN), of one
+    of 256 md5 lanes, or the rows strictly between two cut points.
+    """
+    value = F.col(order).cast("double")
+    placed = Bucketizer(
+        splits=[-math.inf, *points, math.inf], inputCol="_x", outputCol="_slot",
+        handleInvalid="keep").transform(df.withColumn("_x", value))
+    slot = F.when(F.col("_x").isNull(), len(points) + 2).otherwise(F.col("_slot").cast("int"))
+    cut = F.get(F.from_json(F.lit(json.dumps(points)), "array<double>"), slot - 1)
+    tied = F.col("_x").isNull() | F.isnan("_x") | F.coalesce(cut == F.col("_x"), F.lit(False))
+    return placed.withColumn(
+        "_bucket",
+        F.when(tied, slot.cast("bigint") * 2 * _LANES + _lane(tie))
+        .otherwise((slot.cast("bigint") * 2 + 1) * _LANES)).drop("_x", "_slot")
 
 
 def _tile_of(rank: Column, total: Column, tiles: int) -> Column:
@@ -139,8 +149,8 @@ def ntile_global(df: DataFrame, tiles: int, order: str, tie: str, out: str,
                  cuts: int = 1023) -> DataFrame:
     """``NTILE(tiles) OVER (ORDER BY order NULLS LAST, md5(tie), tie)`` without one task.
 
-    Rows fall into ordered buckets: between two cut points, or equal to one (then
-    split 256 ways by md5).  Counting the buckets gives the rank range of each.
+    Rows fall into ordered buckets.  Counting the buckets gives the rank range of
+    each.
     A bucket inside one tile is labelled by lookup; only the at most
     ``tiles - 1`` buckets that a tile boundary crosses (about ``tiles/cuts`` of
     the rows) are sorted.  The result is exact for any cut points, which are
@@ -150,21 +160,7 @@ def ntile_global(df: DataFrame, tiles: int, order: str, tie: str, out: str,
     kind = df.schema[order].dataType
     if not isinstance(kind, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)):
         raise TypeError(f"ntile_global orders by DOUBLE or INT columns, not {kind}")
-    points = _cut_points(df, order, cuts)
-    value = F.col(order).cast("double")
-    literal = ", ".join(f"double('{p!r}')" for p in points)
-    cut_array = F.expr(f"array({literal})" if points else "array(cast(null as double))")
-
-    below = _count_below(cut_array, max(len(points), 1), value)
-    placed = df.withColumn(
-        "_below", F.when(value.isNull(), F.lit(len(points) + 1)).otherwise(below))
-    tied = value.isNull() | F.coalesce(F.get(cut_array, F.col("_below")) == value, F.lit(False))
-    placed = placed.withColumn(
-        "_bucket",
-        (F.col("_below").cast("bigint") * 2 + F.when(tied, 1).otherwise(0)) * _LANES
-        + F.when(tied, _lane(tie)).otherwise(0),
-    ).drop("_below")
-
+    placed = _bucket(df, order, tie, _cut_points(df, order, cuts))
     counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     ordered = Window.orderBy("_bucket")
     layout = counts.select(

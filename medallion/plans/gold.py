@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
 from medallion.plans import intermediate, marts
 from medallion.plans.staging import STAGING
+from medallion.sources.ingest import PARALLEL_JOBS
 from medallion.sources.lake import Lake
 from medallion.specs import MODELS
 
@@ -61,7 +63,7 @@ class Models:
 def build_gold(lake: Lake) -> dict[str, int]:
     """Write every mart once as a gold table; returns the new version per mart."""
     models = Models(lambda table: lake.read("silver", table))
-    return {
-        name: lake.write(models[name], "gold", name).version
-        for name, spec in MODELS.items() if spec.layer == "marts"
-    }
+    marts_to_build = {n: models[n] for n, spec in MODELS.items() if spec.layer == "marts"}
+    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+        done = pool.map(lambda n: lake.write(marts_to_build[n], "gold", n), marts_to_build)
+        return {n: snapshot.version for n, snapshot in zip(marts_to_build, done)}

@@ -6,6 +6,7 @@ import datetime as dt
 import json
 import logging
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,10 @@ from medallion.specs import SOURCES, SourceSpec
 
 log = logging.getLogger(__name__)
 
+# Datasets are independent: several are in flight so that the tail of one load
+# does not leave executors idle.
+PARALLEL_JOBS = 4
+
 MANIFEST_SCHEMA = ("dataset_name string, row_count bigint, file_size_bytes bigint, "
                    "ingestion_timestamp string, source_format string")
 
@@ -73,11 +78,10 @@ def ingest(spark: SparkSession, data_dir: str, lake: Lake,
     of datasets that were not part of this run.
     """
     paths = resolve(spark, data_dir, datasets, sources)
-    entries = {}
-    for name, path in paths.items():
-        entry = ingest_dataset(spark, sources[name], path, lake)
-        if entry is not None:
-            entries[name] = asdict(entry)
+    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+        loaded = pool.map(
+            lambda n: ingest_dataset(spark, sources[n], paths[n], lake), paths)
+        entries = {e.dataset_name: asdict(e) for e in loaded if e is not None}
     manifest = {**read_manifest(spark, lake), **entries}
     storage.write_text(spark, _manifest_path(lake), json.dumps(manifest, indent=2),
                        overwrite=True)
@@ -110,5 +114,7 @@ def missing_datasets(spark: SparkSession, lake: Lake,
 
 def build_silver(lake: Lake, datasets: Iterable[str] = SOURCES) -> dict[str, int]:
     """Clean each bronze table into the next silver version; returns row counts."""
-    return {n: lake.write(clean(lake.read("bronze", n)), "silver", n).row_count
-            for n in datasets}
+    names = list(datasets)
+    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+        done = pool.map(lambda n: lake.write(clean(lake.read("bronze", n)), "silver", n), names)
+        return {n: snapshot.row_count for n, snapshot in zip(names, done)}
