@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from medallion.operators.enrich import null_safe
 
-MAX_LOOKUP_ROWS = 10_000
-
 
 def _edges(low: Column, high: Column) -> tuple[Column, Column]:
     """A single-valued range is widened by half a unit on both sides."""
@@ -43,7 +41,7 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
         F.coalesce("frequency", F.lit(0)).cast("bigint").alias("frequency"))
 
 
-def small_lookup(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
+def small_lookup(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` as a broadcast table if it is proven small, else ``df`` unchanged.
 
     At most ``max_rows + 1`` rows are fetched for the proof.
@@ -54,7 +52,8 @@ def small_lookup(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def histogram_by(df: DataFrame, group: str, value: str, bins: int) -> DataFrame:
+def histogram_by(df: DataFrame, group: str, value: str, bins: int,
+                 max_lookup_rows: int = 10_000) -> DataFrame:
     """One histogram per group, each over the group's own range.
 
     Equal values are counted first, so a group holding most rows shrinks on the
@@ -64,7 +63,8 @@ def histogram_by(df: DataFrame, group: str, value: str, bins: int) -> DataFrame:
              .groupBy(group, F.col(value).cast("double").alias("_x"))
              .agg(F.count(F.lit(1)).alias("_n")))
     ranges = small_lookup(
-        pairs.groupBy(group).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
+        pairs.groupBy(group).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")),
+        max_lookup_rows)
     low, high = _edges(F.col("_lo"), F.col("_hi"))
     ranges = ranges.select(
         group, low.alias("_low"), ((high - low) / bins).alias("_width"))

@@ -6,9 +6,9 @@ plain window runs in one task.  Each operator here cuts the order into pieces
 small enough for one task, counts the pieces, and adds the offset of the
 pieces before.
 
-Equal order values are put in order by ``md5(key), key``.  Any fixed order is
-as good as another for ties; md5 makes its leading digits an even split of the
-tied rows, so a single value shared by a third of all rows still spreads out.
+Where a single order value may hold very many rows, ties go by ``md5(key), key``.
+Any fixed order is as good as another for ties; the leading md5 digits split the
+tied rows evenly, so even a value shared by a third of all rows spreads out.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.enrich import null_safe
+from medallion.session import settle
 
 _LANES = 256
 
@@ -44,7 +45,10 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``order`` must be unique per key.  Its first column is the coarse step (a
     day, a month): rows are summed inside a step, and the total of all earlier
     steps is added.  One task holds one step of one key, or one row per step.
+    Both halves read ``df`` from a stored copy: it is an aggregate, far smaller
+    than the facts behind it, which are scanned once.
     """
+    df = settle(df, "running-total")
     step, rest = order[0], list(order[1:])
     cells = [*keys, step]
     by_step = df.groupBy(*cells).agg(F.sum(value).alias("_step_total"))
@@ -72,9 +76,11 @@ def number_rows(df: DataFrame, keys: Sequence[str], newest_first: str, tie: str,
                 hot_rows: int = 5_000_000) -> DataFrame:
     """``row_number`` per ``keys``, latest ``newest_first`` day first.
 
-    Keys with up to ``hot_rows`` rows take the plain window.  The others are
-    cut into (day, lane) pieces.  The list of hot keys has at most
-    ``rows / hot_rows`` entries, which is why it may be broadcast.
+    Keys with up to ``hot_rows`` rows take the plain window, ties going by
+    ``tie``.  The others are cut into (day, md5 lane) pieces, ties going by
+    ``md5(tie), tie``.  The list of hot keys has at most ``rows / hot_rows``
+    entries, which is why it may be broadcast; when it is empty, adaptive
+    execution drops the second branch.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = sizes.where(F.col("_n") > hot_rows).select(*keys)
@@ -85,7 +91,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], newest_first: str, tie: str,
 
     day = F.col(newest_first).desc_nulls_last()
     rest = df.join(hot, is_hot, "left_anti").withColumn(
-        out, F.row_number().over(Window.partitionBy(*keys).orderBy(day, *_tie(tie)))
+        out, F.row_number().over(Window.partitionBy(*keys).orderBy(day, F.col(tie)))
         .cast("bigint"))
 
     pieces = [*keys, newest_first, "_lane"]
@@ -112,7 +118,7 @@ def _cut_points(df: DataFrame, column: str, cuts: int) -> list[float]:
     shares = ", ".join(f"{i / (cuts + 1)!r}D" for i in range(1, cuts + 1))
     found = df.select(F.col(column).cast("double").alias("x")).agg(
         F.expr(f"percentile_approx(x, array({shares}), {cuts * 10})")).first()[0]
-    return sorted({p for p in found or [] if math.isfinite(p)})
+    return sorted({p for p in found or [] if math.isfinite(p)}) or [0.0]
 
 
 def _bucket(df: DataFrame, order: str, tie: str, points: list[float]) -> DataFrame:
@@ -128,10 +134,10 @@ def _bucket(df: DataFrame, order: str, tie: str, points: list[float]) -> DataFra
     slot = F.when(F.col("_x").isNull(), len(points) + 2).otherwise(F.col("_slot").cast("int"))
     cut = F.get(F.from_json(F.lit(json.dumps(points)), "array<double>"), slot - 1)
     tied = F.col("_x").isNull() | F.isnan("_x") | F.coalesce(cut == F.col("_x"), F.lit(False))
-    return placed.withColumn(
-        "_bucket",
-        F.when(tied, slot.cast("bigint") * 2 * _LANES + _lane(tie))
-        .otherwise((slot.cast("bigint") * 2 + 1) * _LANES)).drop("_x", "_slot")
+    bucket = F.when(tied, slot.cast("bigint") * 2 * _LANES + _lane(tie)).otherwise(
+        (slot.cast("bigint") * 2 + 1) * _LANES)
+    # never NULL; saying so spares the joins a second evaluation as a filter
+    return placed.withColumn("_bucket", F.coalesce(bucket, F.lit(-1))).drop("_x", "_slot")
 
 
 def _tile_of(rank: Column, total: Column, tiles: int) -> Column:

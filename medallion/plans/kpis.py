@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.functions import days_between, exact_avg, exact_sum, rate_of, round_n, safe_ratio
+from medallion.functions import days_between, exact_avg, exact_sum, round_n, safe_ratio
 from medallion.operators import ntile_global, running_total
-from medallion.operators.enrich import null_safe
 from medallion.plans.marts import monthly_payments
 
 
@@ -99,23 +98,27 @@ def complaint_resolution(complaints: DataFrame) -> DataFrame:
 def inventory_reorder_alerts(inventory: DataFrame) -> DataFrame:
     """Items below reorder level, and the names of items that ran out.
 
-    Only items that ran out reach the string aggregate; counting the others
-    stays a hash aggregate.
+    Items are first counted per name that ran out, all others together.  That
+    hash aggregate takes the bulk of the rows; the string aggregate sees one row
+    per group plus one per such name, and repeats a name as often as it occurs.
     """
     place = ["warehouse", "program", "item_type"]
     low = F.col("quantity") < F.col("reorder_level")
-    counts = inventory.groupBy(*place).agg(
-        F.count(F.lit(1)).alias("total_items"),
-        F.count_if(low).alias("items_below_reorder"),
-        rate_of(low).alias("_alert"))
-    out_of_stock = inventory.where((F.col("quantity") == 0) & F.col("item_name").isNotNull())
-    names = out_of_stock.groupBy(*place).agg(
-        F.expr("listagg(item_name, ', ') within group (order by item_name)")
-        .alias("critical_items"))
-    alerts = counts.join(names, null_safe(counts, names, place), "left").select(
-        *(counts[c] for c in place), "total_items", "items_below_reorder",
-        round_n("_alert", 4).alias("alert_pct"), "critical_items")
-    return _in_order(alerts, *place)
+    ran_out = F.when(F.col("quantity") == 0, F.col("item_name"))
+    counted = inventory.groupBy(*place, ran_out.alias("_name")).agg(
+        F.count(F.lit(1)).alias("_items"), F.count_if(low).alias("_low"))
+    named = counted.withColumn("_names", F.when(
+        F.col("_name").isNotNull(),
+        F.array_join(F.array_repeat("_name", F.col("_items").cast("int")), ", ")))
+    alerts = named.groupBy(*place).agg(
+        F.sum("_items").alias("total_items"),
+        F.sum("_low").alias("items_below_reorder"),
+        F.expr("listagg(_names, ', ') within group (order by _name)").alias("critical_items"))
+    return _in_order(
+        alerts.select(*place, "total_items", "items_below_reorder",
+                      round_n(safe_ratio("items_below_reorder", "total_items"), 4)
+                      .alias("alert_pct"), "critical_items"),
+        *place)
 
 
 def refugee_return_intention(refugees: DataFrame) -> DataFrame:

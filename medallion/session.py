@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Each of these is a runtime-tunable Spark setting.  AQE turns the shuffle width
 # into a starting point only: partitions are merged up to the advisory size and
@@ -55,3 +55,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix=f"{purpose}-")
+
+
+def settle(df: DataFrame, purpose: str = "settled") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For results that several branches of one plan need: the branches read the
+    stored rows, so the input behind them is scanned once, a lost executor costs
+    a re-read and not a recomputation, and the planner knows the true size.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path, mode="overwrite")
+    return df.sparkSession.read.schema(df.schema).parquet(path)

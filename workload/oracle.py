@@ -377,12 +377,16 @@ def oracle_sql() -> dict[str, str]:
     ranked = """
         SELECT payment_id, beneficiary_id, payment_date, amount, ROW_NUMBER() OVER (
             PARTITION BY beneficiary_id
-            ORDER BY payment_date DESC NULLS LAST, md5(payment_id), payment_id) AS payment_rank
-        FROM stg_payments"""
-    q["win_payment_rank"] = statement(ranked, "stg_payments")
-    q["win_payment_rank_hot_keys"] = q["win_payment_rank"]
+            ORDER BY payment_date DESC NULLS LAST, {tie} payment_id) AS payment_rank
+        FROM {source}"""
+    by_id = ranked.format(tie="", source="stg_payments")
+    q["win_payment_rank"] = statement(by_id, "stg_payments")
+    q["win_payment_rank_hot_keys"] = statement(ranked.format(
+        tie="CASE WHEN n > 12 THEN md5(payment_id) END,",
+        source="(SELECT *, COUNT(*) OVER (PARTITION BY beneficiary_id) AS n "
+               "FROM stg_payments)"), "stg_payments")
     q["win_payment_rank_top10"] = statement(
-        ranked + " ORDER BY beneficiary_id NULLS LAST, payment_rank LIMIT 10", "stg_payments")
+        by_id + " ORDER BY beneficiary_id NULLS LAST, payment_rank LIMIT 10", "stg_payments")
     q["hist_amount"] = statement(_histogram("stg_payments", "amount", 50), "stg_payments")
     q["hist_by_group"] = statement(_histogram(
         "stg_afghan_refugees", "vulnerability_score", 30, "arrival_wave"),
