@@ -41,8 +41,9 @@ PLANS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 class Models:
     """Lazy models: ``models["mart_payment_kpis"]`` is a DataFrame.
 
-    Nothing is computed here.  Staging and intermediate models are inlined by
-    Catalyst, which drops the columns a mart does not read.
+    Staging and intermediate models are inlined by Catalyst, which drops the
+    columns a mart does not read.  Only the running total of the protection mart
+    stores its monthly counts when the model is first asked for.
     """
 
     def __init__(self, silver: Callable[[str], DataFrame]):

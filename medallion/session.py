@@ -21,9 +21,11 @@ DEFAULTS = {
 
 
 def get_spark(app_name: str = "medallion", master: str | None = None,
-              **conf: object) -> SparkSession:
+              input_bytes: int | None = None, **conf: object) -> SparkSession:
     """Build (or reuse) a session with the library defaults plus ``conf``.
 
+    ``input_bytes``, the size of the largest input, sets how many shuffle
+    partitions AQE starts from: it can merge partitions but not add any.
     ``conf`` keys use double underscores for dots:
     ``get_spark(spark__sql__shuffle__partitions=4000)``.
     """
@@ -32,6 +34,9 @@ def get_spark(app_name: str = "medallion", master: str | None = None,
         builder = builder.master(master)
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                 str(shuffle_width(input_bytes)))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
     return builder.getOrCreate()

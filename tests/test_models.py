@@ -175,6 +175,36 @@ def test_cumulative_cases_only_grow(spark, rows):
         assert totals == sorted(totals) and totals[-1] == sum(x[0] == t for x in rows)
 
 
+@pytest.mark.property
+@RELAXED
+@given(st.lists(st.tuples(st.sampled_from(["b1", "b2", "none", None]),
+                          st.sampled_from(["Success", "Failed", "Pending", None]),
+                          st.dates(D(2024, 1, 1), D(2024, 6, 1))), min_size=1, max_size=40))
+def test_rates_stay_between_zero_and_one(spark, rows):
+    ben = spark.createDataFrame([("b1", "D", "P"), ("b2", "E", "P")], BEN)
+    out = kpis.payment_success_rates(payments(spark, *rows), ben).collect()
+    assert sum(r.total_payments for r in out) == len(rows)
+    assert all(0 <= r.success_rate <= 1 and 0 <= r.rolling_3m_avg <= 1 for r in out)
+
+
+@pytest.mark.property
+@RELAXED
+@given(st.lists(st.one_of(st.none(), st.floats(0, 10)), min_size=20, max_size=80))
+def test_deciles_are_ordered_and_even(spark, scores):
+    df = spark.createDataFrame(
+        [(f"f{i}", v, 3, False, True) for i, v in enumerate(scores)],
+        "refugee_id string, vulnerability_score double, family_size long, "
+        "has_disability boolean, is_unaccompanied_minor boolean")
+    out = kpis.refugee_vulnerability(df).collect()
+    assert [r.decile for r in out] == list(range(1, 11))
+    sizes = [r.refugee_count for r in out]
+    assert sum(sizes) == len(scores) and max(sizes) - min(sizes) <= 1
+    bounds = [b for r in out for b in (r.min_vulnerability_score, r.max_vulnerability_score)
+              if b is not None]
+    assert bounds == sorted(bounds)
+    assert out[0].disability_rate == 0 and out[0].unaccompanied_minor_rate == 1
+
+
 def test_invariants_hold_on_the_test_tables(inputs):
     from workload.queries import KPI_KEYS
     assert all(r.violations == 0 for r in KPI_KEYS["kpi_invariants"](inputs).collect())

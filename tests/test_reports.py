@@ -1,0 +1,124 @@
+"""Report datasets: viewer choices, defaults and empty results."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from medallion.operators import distinct_values, first_values, pivot_grid, value_range
+from medallion.plans import reports
+from pyspark.sql import functions as F
+
+D = dt.date
+PAY = ("district string, program string, reporting_month date, total_payments long, "
+       "successful_payments long, success_rate double, rolling_3m_avg_success_rate double")
+
+
+@pytest.fixture
+def pay(spark):
+    rows = [(d, p, D(2024, m, 1), 10, 5 + m, (5 + m) / 10, 0.5)
+            for d in ("A", "B", None) for p in ("P", "Q") for m in (1, 2, 3)]
+    return spark.createDataFrame(rows, PAY)
+
+
+def test_default_programme_is_the_first(pay):
+    assert {r.program for r in reports.payments_in_scope(pay).collect()} == {"P"}
+    assert {r.program for r in reports.payments_in_scope(pay, "Q").collect()} == {"Q"}
+    assert reports.payments_in_scope(pay, "none").count() == 0
+
+
+def test_month_range_is_inclusive(pay):
+    scope = reports.payments_in_scope(pay, "P", D(2024, 1, 1), D(2024, 2, 1))
+    assert {r.reporting_month.month for r in scope.collect()} == {1, 2}
+    row = value_range(scope, "reporting_month").first()
+    assert (row.low, row.high) == (D(2024, 1, 1), D(2024, 2, 1))
+
+
+def test_latest_month_is_ranked_and_labelled(pay):
+    rows = reports.latest_month(reports.payments_in_scope(pay, "P")).collect()
+    assert {r.reporting_month for r in rows} == {D(2024, 3, 1)} and len(rows) == 3
+    assert rows[0].label == "80%"
+
+
+def test_series_default_and_explicit_districts(pay):
+    scope = reports.payments_in_scope(pay, "P")
+    assert {r.district for r in reports.payment_series(scope).collect()} == {"A", "B"}
+    one = reports.payment_series(scope, default_districts=1).collect()
+    assert {r.district for r in one} == {"A"}
+    assert {r.district for r in reports.payment_series(scope, ["B"]).collect()} == {"B"}
+    assert reports.payment_series(scope, []).count() == 0
+
+
+def test_values_are_distinct_sorted_and_not_null(pay):
+    assert [r[0] for r in distinct_values(pay, "district").collect()] == ["A", "B"]
+    assert [r[0] for r in first_values(pay, "district", 1).collect()] == ["A"]
+
+
+def test_wide_grid_agrees_with_long_grid(pay):
+    scope = reports.payments_in_scope(pay, "P")
+    wide = {r.district: r for r in reports.success_grid_wide(scope).collect()}
+    long = reports.success_grid(scope).collect()
+    assert len(long) == 6 and set(wide) == {"A", "B"}
+    assert all(wide[r.district][str(r.reporting_month)] == r.success_rate for r in long)
+
+
+def test_too_many_columns_is_an_error_not_a_cut(pay):
+    with pytest.raises(ValueError, match="more than 2 values"):
+        pivot_grid(pay, "district", "reporting_month", F.count("*"), max_columns=2)
+
+
+def donors(spark, *rows):
+    return spark.createDataFrame(
+        rows, "donor string, program string, total_committed double, total_disbursed double, "
+              "variance double, utilization_pct double, utilization_rank long")
+
+
+def test_donor_datasets(spark):
+    mart = donors(spark, ("x", "P", 10.0, 5.0, 5.0, 50.0, 2), ("y", "P", 8.0, 8.0, 0.0, 100.0, 1),
+                  ("z", "Q", 99.0, 1.0, 98.0, 1.0, 1))
+    long = {(r.donor, r.metric): r.amount for r in reports.budget_long(mart).collect()}
+    assert long == {("x", "Committed"): 10.0, ("x", "Disbursed"): 5.0,
+                    ("y", "Committed"): 8.0, ("y", "Disbursed"): 8.0}
+    assert [r.donor for r in reports.utilization_ranked(mart).collect()] == ["y", "x"]
+    assert {r.axis_max for r in reports.scatter(mart).collect()} == {10.0}
+    assert {r.axis_max for r in reports.scatter(mart, whole_table=True).collect()} == {99.0}
+    nothing = donors(spark, ("x", "P", 0.0, 0.0, 0.0, None, 1))
+    assert reports.scatter(nothing).first().axis_max == 1.0
+
+
+def cases(spark, *rows):
+    return spark.createDataFrame(
+        [("t", *r) for r in rows], "incident_type string, incident_month date, "
+        "risk_level string, host_district string, open_cases long, total_cases long")
+
+
+def test_case_hierarchy_shares(spark):
+    mart = cases(spark, (D(2024, 1, 1), "High", "a", 1, 50), (D(2024, 2, 1), "High", "a", 1, 3),
+                 (D(2024, 2, 1), "High", "b", 1, 1), (D(2024, 2, 1), "Low", "a", 1, 4))
+    scope = reports.cases_in_scope(mart)
+    rows = {(r.level, r.risk_level, r.host_district): (r.total_cases, r.share)
+            for r in reports.case_hierarchy(scope).collect()}
+    assert rows == {("risk", "High", None): (4, 0.5), ("risk", "Low", None): (4, 0.5),
+                    ("district", "High", "a"): (3, 0.375), ("district", "High", "b"): (1, 0.125),
+                    ("district", "Low", "a"): (4, 0.5)}
+    assert {r.risk_level for r in reports.cases_in_scope(mart, risks=["Low"]).collect()} == {"Low"}
+
+
+def test_no_cases_no_hierarchy(spark):
+    empty = cases(spark, (D(2024, 1, 1), "High", "a", 0, 0))
+    assert reports.case_hierarchy(reports.cases_in_scope(empty)).count() == 0
+
+
+def test_top_districts_is_smallest_first_with_ties_by_name(spark):
+    mart = spark.createDataFrame(
+        [("P", "m", d, float(v)) for d, v in (("a", 1), ("b", 3), ("c", 3), ("d", 2))],
+        "program string, modality string, host_district string, total_amount_usd double")
+    assert [r.host_district for r in reports.top_districts(mart, n=3).collect()] == ["d", "b", "c"]
+
+
+def test_box_quartiles_interpolate(spark):
+    mart = spark.createDataFrame([("P", "m", v) for v in (1.0, 2.0, 3.0, 4.0, None)],
+                                 "program string, modality string, avg_amount_usd double")
+    row = reports.box_by_modality(mart).first()
+    assert tuple(row) == ("m", 4, 1.0, 1.75, 2.5, 3.25, 4.0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from medallion.functions import (
 from medallion.operators import distinct_values, histogram, histogram_by, ntile_global, value_range
 from medallion.plans import cleaning, history, kpis, quality, reports
 from medallion.plans.gold import Models, build_gold
-from medallion.session import scratch_dir
+from medallion.session import scratch_dir, settle
 from medallion.sources import ingest as loading
 from medallion.sources import readers, writers
 from medallion.sources.avro import read_avro, stringify_all
@@ -40,9 +41,12 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.models = Models(self.entity)
+        self._entities: dict[str, DataFrame] = {}
 
     def entity(self, name: str) -> DataFrame:
-        return entity(self.spark, self.sf_dir, name)
+        if name not in self._entities:
+            self._entities[name] = entity(self.spark, self.sf_dir, name)
+        return self._entities[name]
 
     def stg(self, table: str) -> DataFrame:
         return self.models[f"stg_{table}"]
@@ -154,9 +158,9 @@ def _scalar_nulls(i: Inputs) -> DataFrame:
 
 
 OPERATOR_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
-    "ntile_global": lambda i: ntile_global(
-        i.stg("refugee_assistance").select("assistance_id", "amount_usd"), 100,
-        "amount_usd", "assistance_id", "tile"),
+    "ntile_global": lambda i: ntile_global(  # the input is a join, so it is stored first
+        settle(i.stg("refugee_assistance").select("assistance_id", "amount_usd"), "ntile"),
+        100, "amount_usd", "assistance_id", "tile"),
     "win_payment_rank": lambda i: history.payment_rank(i.stg("payments")),
     "win_payment_rank_hot_keys": lambda i: history.payment_rank(i.stg("payments"), hot_rows=12),
     "win_payment_rank_top10": lambda i: history.payment_rank_top(i.stg("payments")),
@@ -276,9 +280,9 @@ def _sink_roundtrip(i: Inputs) -> DataFrame:
 
 def _write_sources(i: Inputs, names: list[str]) -> str:
     folder = i.scratch("sources")
-    for name in names:
-        source = SOURCES[name]
-        writers.write_one(i.entity(name), f"{folder}/{source.file}", source.format)
+    with ThreadPoolExecutor(loading.PARALLEL_JOBS) as pool:
+        list(pool.map(lambda n: writers.write_one(
+            i.entity(n), f"{folder}/{SOURCES[n].file}", SOURCES[n].format), names))
     return folder
 
 
