@@ -11,7 +11,7 @@ import json
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,13 +56,37 @@ def write_avro(df: DataFrame, path: str) -> None:
         raise FileExistsError(path)
     staging = storage.qualified(spark, f"{path}/_temporary")
     storage.make_folder(spark, staging)
-    # Attempts write under unique names; only files of attempts whose result
-    # reached the driver are moved into place, so retries leave no copies.
-    done = text.mapInPandas(_part_writer(staging, text.columns), "file string").collect()
+    # Spark encodes the records; tasks only frame them.  Attempts write under unique
+    # names and only files of attempts whose result reached the driver are moved
+    # into place, so retries leave no copies.
+    records = text.select(_record(text.columns).alias("record"))
+    done = records.mapInPandas(_part_writer(staging, text.columns), "file string").collect()
     for row in done:
         storage.move(spark, f"{staging}/{row.file}", f"{path}/{row.file}")
 
 
+def _length(n: Column) -> Column:
+    """Avro's variable-length code of a byte count: low seven bits first."""
+    z = n.cast("bigint") * 2
+    last = F.ceil(F.length(F.bin(z)) / 7).cast("int") - 1
+
+    def byte(i: Column) -> Column:
+        bits = F.call_function("shiftright", z, i * 7).bitwiseAND(F.lit(127))
+        return F.lpad(F.hex(bits + F.when(i < last, 128).otherwise(0)), 2, "0")
+
+    longer = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), last), byte), ""))
+    return F.when(z < 128, F.char(z).cast("binary")).otherwise(longer)
+
+
+def _record(columns: list[str]) -> Column:
+    """One record of nullable strings: per field a branch number, then the text."""
+    def field(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        some = F.concat(F.unhex(F.lit("02")), _length(F.octet_length(c)), c.cast("binary"))
+        return F.when(c.isNull(), F.unhex(F.lit("00"))).otherwise(some)
+    return F.concat(*(field(c) for c in columns))
+
+
 def _part_writer(folder: str, columns: list[str], block_rows: int = 4096):
     """Task function writing one partition.  Self-contained: it is shipped by value."""
     schema = json.dumps({"type": "record", "name": "Record", "fields": [
@@ -73,8 +97,7 @@ def _part_writer(folder: str, columns: list[str], block_rows: int = 4096):
         from pyarrow import fs as arrow_fs
 
         def number(n: int) -> bytes:
-            n = (n << 1) ^ (n >> 63)
-            out = bytearray()
+            n, out = n << 1, bytearray()
             while n > 0x7F:
                 out.append((n & 0x7F) | 0x80)
                 n >>= 7
@@ -95,12 +118,9 @@ def _part_writer(folder: str, columns: list[str], block_rows: int = 4096):
                        + number(0) + marker)
             for batch in batches:
                 for start in range(0, len(batch), block_rows):
-                    part = batch.iloc[start:start + block_rows]
-                    cells = [part[c].tolist() for c in part.columns]
-                    body = b"".join(
-                        number(0) if pd.isna(v) else number(1) + text(v)
-                        for row in zip(*cells) for v in row)
-                    sink.write(number(len(part)) + number(len(body)) + body + marker)
+                    block = batch["record"].iloc[start:start + block_rows]
+                    body = b"".join(block)
+                    sink.write(number(len(block)) + number(len(body)) + body + marker)
         yield pd.DataFrame({"file": [name]})
 
     return write

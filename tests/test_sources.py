@@ -73,7 +73,9 @@ def test_ndjson_keeps_nulls_and_epoch_dates(spark, inputs, data_dir):
 
 
 def test_avro_edges(spark, tmp_path):
-    rows = [("é\"x'\n", None), ("", "a" * 5000), (None, None)] + [(str(i), "v") for i in range(9000)]
+    sizes = (63, 64, 8191, 8192, 1_048_575, 1_048_576)  # where the length code grows
+    rows = [("é\"x'\n", None), ("", "a" * 5000), (None, None)]
+    rows += [(str(n), "x" * n) for n in sizes] + [(str(i), "v") for i in range(9000)]
     df = spark.createDataFrame(rows, "a string, b string")
     path = str(tmp_path / "t.avro")
     write_avro(df.repartition(3), path)

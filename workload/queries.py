@@ -260,7 +260,7 @@ def _gold_roundtrip(i: Inputs) -> DataFrame:
 
 
 def _sink_roundtrip(i: Inputs) -> DataFrame:
-    rows, folder = i.entity("refugee_assistance"), i.scratch("sinks")
+    rows, folder = settle(i.entity("refugee_assistance")), i.scratch("sinks")
     text = stringify_all(rows).schema
     for fmt in writers.FORMATS:
         writers.write_one(rows, f"{folder}/{fmt}", fmt)
