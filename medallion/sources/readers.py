@@ -13,17 +13,20 @@ from medallion.sources.avro import read_avro
 Reader = Callable[[SparkSession, str, T.StructType], DataFrame]
 
 
-def read_csv_gz(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_gz(spark: SparkSession, path: str, schema: T.StructType,
+                spread_above: int = 64 << 20) -> DataFrame:
     """Gzip CSV with a header.
 
-    Gzip cannot be split, so a file is one task; the rebalance spreads its rows
-    before any further work.  As nothing is lost by it, quoted line breaks are
-    allowed too.
+    Gzip cannot be split, so a file is one task.  Rows of large files are spread
+    by a rebalance before any further work; many small files are left as they
+    are, which saves the shuffle.  As a file is one task anyway, quoted line
+    breaks are allowed.
     """
     raw = spark.read.schema(schema).csv(
         path, header=True, multiLine=True, quote='"', escape='"',
         enforceSchema=False, mode="FAILFAST")
-    return raw.hint("rebalance")
+    large = storage.mean_file_bytes(spark, path) > spread_above
+    return raw.hint("rebalance") if large else raw
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -24,6 +24,13 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(where).getLength()
 
 
+def mean_file_bytes(spark: SparkSession, path: str) -> float:
+    """Average size of the files at or below a path."""
+    fs, where = _at(spark, path)
+    summary = fs.getContentSummary(where)
+    return summary.getLength() / max(summary.getFileCount(), 1)
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     fs, where = _at(spark, folder)
     if not fs.exists(where):

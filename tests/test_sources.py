@@ -227,7 +227,11 @@ def test_files_to_gold(spark, lake, data_dir, inputs):
     assert dict(lake.read("silver", "surveys").dtypes)["survey_date"] == "date"
 
 
-def test_gzip_rows_are_spread_after_the_read(spark, data_dir):
+def test_rows_of_large_gzip_files_are_spread(spark, data_dir):
     source = SOURCES["complaints"]
-    plan = plan_of(readers.read_csv_gz(spark, f"{data_dir}/{source.file}", source.schema))
-    assert "RoundRobinPartitioning" in plan
+    path = f"{data_dir}/{source.file}"
+    large = readers.read_csv_gz(spark, path, source.schema, spread_above=10)
+    small = readers.read_csv_gz(spark, path, source.schema)
+    assert "RoundRobinPartitioning" in plan_of(large)
+    assert "Exchange" not in plan_of(small)
+    assert large.count() == small.count() == 1500
