@@ -26,13 +26,24 @@ def has_avro_module(spark: SparkSession) -> bool:
         return False
 
 
+def _number_text(x: Column) -> Column:
+    """A double in plain digits where its size allows; NaN is a missing value."""
+    size = F.abs(x)
+    digits = F.regexp_replace(x.cast("decimal(38,18)").cast("string"), "0+$", "")
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    wants_plain = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
+    return F.when(~F.isnan(x), F.when(wants_plain, plain).otherwise(x.cast("string")))
+
+
 def stringify_all(df: DataFrame) -> DataFrame:
     """Every column as text, NULL kept; booleans read ``True`` and ``False``."""
     def text(field: T.StructField):
-        c = F.col(f"`{field.name}`").cast("string")
+        c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.BooleanType):
-            c = F.initcap(c)
-        return c.alias(field.name)
+            c = F.initcap(c.cast("string"))
+        elif isinstance(field.dataType, T.DoubleType):
+            c = _number_text(c)
+        return c.cast("string").alias(field.name)
     return df.select(*(text(f) for f in df.schema.fields))
 
 

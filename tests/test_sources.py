@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from conftest import plan_of
 from medallion.sources import ingest as loading
 from medallion.sources import readers, storage, writers
-from medallion.sources.avro import read_avro, write_avro
+from medallion.sources.avro import read_avro, stringify_all, write_avro
 from medallion.sources.lake import Lake
 from medallion.specs import SOURCES
 
@@ -86,6 +86,19 @@ def test_avro_edges(spark, tmp_path):
         write_avro(df, path)
 
 
+def test_numbers_as_text_read_like_the_source_writes_them(spark):
+    values = [0.0, 1.5, -12.25, 9999999.0, 1e7, 12345678.9, -1234567890123.25, 9.9e15,
+              0.001, 0.00012, 0.5]
+    df = spark.createDataFrame([(v, True) for v in values], "v double, b boolean")
+    rows = stringify_all(df).collect()
+    assert [r.v for r in rows] == [str(v) for v in values]
+    assert {r.b for r in rows} == {"True"}
+    huge = spark.createDataFrame([(1e300, True), (float("inf"), True)], "v double, b boolean")
+    assert [r.v for r in stringify_all(huge).collect()] == ["1.0E300", "Infinity"]
+    missing = spark.createDataFrame([(float("nan"), None), (None, None)], "v double, b boolean")
+    assert [tuple(r) for r in stringify_all(missing).collect()] == [(None, None)] * 2
+
+
 def test_csv_folder_gives_one_table_per_file(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.csv").write_text("k,v\n1,x\n2,\n")
