@@ -12,8 +12,10 @@ from medallion.llm import (
     content_sort,
     decontaminate,
     pieces,
+    quality_mil,
     sharding,
     simhash,
+    suffix_tree,
     token_counts,
     toxicity,
 )
@@ -37,6 +39,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, model_path()).drop("text")
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_texts(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
@@ -58,6 +64,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality_mil.learn(docs, table(spark, sf_dir, "labels"))
+    return quality_mil.score_quality(docs, net).select(
+        "doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -90,10 +103,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_suffix_tree": op2_suffix_tree,
         "op3_simhash": op3_simhash,
         "op4_decontamination": op4_decontamination,
         "op5_pieces": op5_pieces,
         "op6_toxicity": op6_toxicity,
+        "op7_quality": op7_quality,
         "op8_content_sort": op8_content_sort,
         "op9_sharding": op9_sharding,
         "op10_chat_format": op10_chat_format,
