@@ -49,12 +49,19 @@ def days_between(start: Column | str, end: Column | str) -> Column:
 
 
 def epoch_ms_to_date(ms: Column | str) -> Column:
-    """UTC calendar day of an epoch-millisecond number, whatever the session zone."""
-    return F.date_from_unix_date(F.floor(_col(ms) / F.lit(MS_PER_DAY)).cast("int"))
+    """UTC calendar day of an epoch-millisecond number, whatever the session zone.
+
+    NULL for what is no day of the years 1 to 9999, NaN and infinities included.
+    """
+    day = _col(ms) / F.lit(MS_PER_DAY)
+    known = (day >= F.lit(-719_162)) & (day < F.lit(2_932_897))
+    return F.when(known, F.date_from_unix_date(F.floor(day).cast("int")))
 
 
 def epoch_ms_to_timestamp(ms: Column | str) -> Column:
-    return F.timestamp_millis(_col(ms).cast("bigint"))
+    """The instant; NULL outside the years 1 to 9999, NaN and infinities included."""
+    known = (_col(ms) >= F.lit(-62_135_596_800_000)) & (_col(ms) < F.lit(253_402_300_800_000))
+    return F.when(known, F.timestamp_millis(_col(ms).cast("bigint")))
 
 
 def percent_text(fraction: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.functions import exact_parts, exact_total, month_of, safe_ratio
+from medallion.functions import PARTS, exact_parts, exact_total, month_of, safe_ratio
 from medallion.operators import enrich_then_total, running_total
 from medallion.specs import MODELS
 
@@ -61,11 +61,11 @@ def mart_refugee_assistance_summary(refugees: DataFrame, assistance: DataFrame)
     joined = per_refugee.join(scores, F.col("refugee_id") == F.col("_id"), "left")
     totals = joined.groupBy(*segment).agg(
         F.count("refugee_id").alias("total_beneficiaries"),
-        exact_total(*(F.sum(F.col(f"usd_{p}") * copies) for p in ("units", "micro", "odd")))
+        exact_total(*(F.sum(F.col(f"usd_{p}") * copies) for p in PARTS))
         .alias("total_amount_usd"),
         F.sum(F.col("n") * copies).alias("delivery_count"),
         exact_total(*(F.sum(F.col(f"score_{p}") * F.col("n"))
-                      for p in ("units", "micro", "odd"))).alias("_score"),
+                      for p in PARTS)).alias("_score"),
         F.sum(F.col("n") * F.col("scored")).alias("_scored"))
     return totals.select(
         *segment, "total_beneficiaries", "total_amount_usd",

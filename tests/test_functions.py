@@ -6,6 +6,7 @@ import datetime as dt
 import math
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -76,3 +77,22 @@ def test_exact_sum_edges(spark):
     assert math.isnan(total([1.0, math.nan]))
     assert total([1.0, math.inf]) == math.inf
     assert total([1e300, 2.0]) == 1e300
+
+
+def test_exact_sum_keeps_small_and_large_values(spark):
+    def total(value, n):
+        df = spark.range(n).repartition(3).select(F.lit(value).alias("v"))
+        return df.agg(fn.exact_sum("v").alias("s")).first().s
+    assert total(1e-7, 1000) == pytest.approx(1e-4, rel=1e-12)
+    assert total(1 / 3, 3) == pytest.approx(1.0, rel=1e-15)
+    assert total(8e15, 3000) == 2.4e19
+    assert total(-8e15 - 0.5, 3000) == -3000 * (8e15 + 0.5)
+    assert total(9e17, 1000) == 9e20
+
+
+def test_epoch_numbers_out_of_range_are_null(spark):
+    for value in (math.nan, 1e30, -1e30, math.inf, 9e18):
+        assert one(spark, fn.epoch_ms_to_date("a"), a=value) is None
+        assert one(spark, fn.epoch_ms_to_timestamp("a"), a=value) is None
+    assert one(spark, fn.epoch_ms_to_date("a"), a=9 * 10 ** 18) is None
+    assert one(spark, fn.epoch_ms_to_timestamp("a"), a=9 * 10 ** 18) is None
