@@ -9,9 +9,14 @@ from medallion.operators.enrich import null_safe
 
 
 def _edges(low: Column, high: Column) -> tuple[Column, Column]:
-    """A single-valued range is widened by half a unit on both sides."""
+    """A single-valued range is widened on both sides: by half a unit, or for numbers too
+    large to tell by a 2**-40th of their size.  An infinite range is an error."""
     flat = low == high
-    return F.when(flat, low - 0.5).otherwise(low), F.when(flat, high + 0.5).otherwise(high)
+    half = F.greatest(F.lit(0.5), F.abs(low) * F.lit(2.0 ** -40))
+    endless = F.abs(low).isin(float("inf")) | F.abs(high).isin(float("inf"))
+    failed = F.raise_error(F.lit("a histogram's range must be finite")).cast("double")
+    return (F.when(endless, failed).when(flat, low - half).otherwise(low),
+            F.when(endless, failed).when(flat, high + half).otherwise(high))
 
 
 def _bin_of(x: Column, low: Column, width: Column, bins: int) -> Column:
@@ -22,9 +27,14 @@ def _bin_of(x: Column, low: Column, width: Column, bins: int) -> Column:
             + F.when((x >= low + (guess + 1) * width) & (guess < bins - 1), 1).otherwise(0))
 
 
+def _number(value: str) -> Column:
+    """The value as DOUBLE; NaN is a missing value."""
+    return F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+
+
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Columns ``bin, bin_start, bin_end, frequency``; empty bins are kept."""
-    x = F.col(value).cast("double")
+    x = _number(value)
     span = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
     low, high = _edges(F.col("_span.lo"), F.col("_span.hi"))
     width = (high - low) / bins
@@ -41,30 +51,17 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
         F.coalesce("frequency", F.lit(0)).cast("bigint").alias("frequency"))
 
 
-def small_lookup(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` as a broadcast table if it is proven small, else ``df`` unchanged.
-
-    At most ``max_rows + 1`` rows are fetched for the proof.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def histogram_by(df: DataFrame, group: str, value: str, bins: int,
-                 max_lookup_rows: int = 10_000) -> DataFrame:
+def histogram_by(df: DataFrame, group: str, value: str, bins: int) -> DataFrame:
     """One histogram per group, each over the group's own range.
 
     Equal values are counted first, so a group holding most rows shrinks on the
-    map side; the ranges join by broadcast once their number is known to be small.
+    map side.  How the ranges are joined is left to Spark, which knows their size
+    at run time.
     """
-    pairs = (df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-             .groupBy(group, F.col(value).cast("double").alias("_x"))
+    pairs = (df.where(F.col(group).isNotNull() & _number(value).isNotNull())
+             .groupBy(group, _number(value).alias("_x"))
              .agg(F.count(F.lit(1)).alias("_n")))
-    ranges = small_lookup(
-        pairs.groupBy(group).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")),
-        max_lookup_rows)
+    ranges = pairs.groupBy(group).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     low, high = _edges(F.col("_lo"), F.col("_hi"))
     ranges = ranges.select(
         group, low.alias("_low"), ((high - low) / bins).alias("_width"))

@@ -76,26 +76,31 @@ def number_rows(df: DataFrame, keys: Sequence[str], newest_first: str, tie: str,
                 hot_rows: int = 5_000_000) -> DataFrame:
     """``row_number`` per ``keys``, latest ``newest_first`` day first.
 
-    Keys with up to ``hot_rows`` rows take the plain window, ties going by
-    ``tie``.  The others are cut into (day, md5 lane) pieces, ties going by
-    ``md5(tie), tie``.  The list of hot keys has at most ``rows / hot_rows``
-    entries, which is why it may be broadcast; when it is empty, adaptive
-    execution drops the second branch.
+    Ties go by ``md5(tie), tie``.  Keys with up to ``hot_rows`` rows take the plain
+    window; the others are cut into (day, md5 lane) pieces, one lane for each
+    ``hot_rows`` rows of the key, which gives the same numbers.  How the list of hot
+    keys is joined is left to Spark, which knows its size at run time; when it
+    is empty, adaptive execution drops the second branch.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_rows).select(*keys)
-    hot = F.broadcast(hot.select(*(F.col(k).alias(f"_hot_{k}") for k in keys)))
+    hot = sizes.where(F.col("_n") > hot_rows).select(
+        *(F.col(k).alias(f"_hot_{k}") for k in keys),
+        F.ceil(F.col("_n") / F.lit(hot_rows)).alias("_lanes"))
     is_hot = F.lit(True)
     for k in keys:
         is_hot = is_hot & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
 
     day = F.col(newest_first).desc_nulls_last()
     rest = df.join(hot, is_hot, "left_anti").withColumn(
-        out, F.row_number().over(Window.partitionBy(*keys).orderBy(day, F.col(tie)))
+        out, F.row_number().over(Window.partitionBy(*keys).orderBy(day, *_tie(tie)))
         .cast("bigint"))
 
     pieces = [*keys, newest_first, "_lane"]
-    busy = df.join(hot, is_hot, "left_semi").withColumn("_lane", _lane(tie))
+    head = F.coalesce(F.substring(F.md5(F.col(tie).cast("string")), 1, 8), F.lit("0" * 8))
+    place = F.conv(head, 16, 10).cast("bigint")  # 32 bits, ordered like md5(tie)
+    busy = df.join(hot, is_hot).select(
+        *(df[c] for c in df.columns),
+        F.floor(place * F.col("_lanes") / F.lit(float(1 << 32))).alias("_lane"))
     numbered = busy.withColumn(
         "_inside",
         F.row_number().over(Window.partitionBy(*pieces).orderBy(*_tie(tie))))
@@ -113,7 +118,25 @@ def number_rows(df: DataFrame, keys: Sequence[str], newest_first: str, tie: str,
     return rest.unionByName(busy_out)
 
 
-def _cut_points(df: DataFrame, column: str, cuts: int) -> list[float]:
+def _as_number(df: DataFrame, order: str) -> tuple[Column, Column]:
+    """A DOUBLE that sorts like ``order``, and whether it stands for one value only."""
+    kind, c = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double"), F.lit(True)
+    if isinstance(kind, (T.TimestampType, T.LongType)):
+        x = (F.unix_micros(c) if isinstance(kind, T.TimestampType) else c).cast("double")
+        return x, F.abs(x) < F.lit(float(1 << 53))
+    if isinstance(kind, T.StringType):
+        front = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(front, 16, 10).cast("double"), F.lit(False)
+    if isinstance(kind, T.DecimalType):
+        return c.cast("double"), F.lit(False)
+    if isinstance(kind, T.NumericType):
+        return c.cast("double"), F.lit(True)
+    raise TypeError(f"cannot order by {kind}")
+
+
+def _cut_points(df: DataFrame, number: Column, cuts: int) -> list[float]:
     """At most ``cuts`` approximate quantiles, read to the driver as one row.
 
     Sketches of many tasks would all meet in one reducer, so they are merged in
@@ -122,7 +145,7 @@ def _cut_points(df: DataFrame, column: str, cuts: int) -> list[float]:
     """
     shares = ", ".join(f"{i / (cuts + 1)!r}D" for i in range(1, cuts + 1))
     quantiles = F.expr(f"percentile_approx(x, array({shares}), {cuts * 2})")
-    values = df.select(F.col(column).cast("double").alias("x"),
+    values = df.select(number.alias("x"),
                        (F.spark_partition_id() % 64).alias("g"))
     groups = values.where(F.col("x").isNotNull()).groupBy("g").agg(quantiles.alias("q"))
     found = groups.select(F.explode("q").alias("x")).agg(quantiles).first()[0]
@@ -133,19 +156,22 @@ def _bucket(df: DataFrame, order: str, tie: str, points: list[float]) -> DataFra
     """Add ``_bucket``, a BIGINT that sorts like ``order`` and then ``md5(tie)``.
 
     A bucket holds either the rows equal to one cut point (or NULL, or NaN), of one
-    of 256 md5 lanes, or the rows strictly between two cut points.
+    of 256 md5 lanes, or the rows strictly between two cut points.  Where a cut point
+    may stand for several values (texts with a common front, very large LONGs), its
+    rows are one bucket.
     """
-    value = F.col(order).cast("double")
+    value, single = _as_number(df, order)
     placed = Bucketizer(
         splits=[-math.inf, *points, math.inf], inputCol="_x", outputCol="_slot",
-        handleInvalid="keep").transform(df.withColumn("_x", value))
+        handleInvalid="keep").transform(df.withColumns({"_x": value, "_single": single}))
     slot = F.when(F.col("_x").isNull(), len(points) + 2).otherwise(F.col("_slot").cast("int"))
     cut = F.get(F.from_json(F.lit(json.dumps(points)), "array<double>"), slot - 1)
     tied = F.col("_x").isNull() | F.isnan("_x") | F.coalesce(cut == F.col("_x"), F.lit(False))
-    bucket = F.when(tied, slot.cast("bigint") * 2 * _LANES + _lane(tie)).otherwise(
-        (slot.cast("bigint") * 2 + 1) * _LANES)
+    lane = F.when(F.col("_x").isNull() | F.isnan("_x") | F.col("_single"), _lane(tie))
+    bucket = F.when(tied, slot.cast("bigint") * 2 * _LANES + F.coalesce(lane, F.lit(0))
+                    ).otherwise((slot.cast("bigint") * 2 + 1) * _LANES)
     # never NULL; saying so spares the joins a second evaluation as a filter
-    return placed.withColumn("_bucket", F.coalesce(bucket, F.lit(-1))).drop("_x", "_slot")
+    return placed.withColumn("_bucket", F.coalesce(bucket, F.lit(-1))).drop("_x", "_slot", "_single")
 
 
 def _tile_of(rank: Column, total: Column, tiles: int) -> Column:
@@ -174,10 +200,7 @@ def ntile_global(df: DataFrame, tiles: int, order: str, tie: str, out: str,
     ``df`` is read four times (narrow columns twice); store it first when it is
     the result of a costly plan.
     """
-    kind = df.schema[order].dataType
-    if not isinstance(kind, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)):
-        raise TypeError(f"ntile_global orders by DOUBLE or INT columns, not {kind}")
-    placed = _bucket(df, order, tie, _cut_points(df, order, cuts))
+    placed = _bucket(df, order, tie, _cut_points(df, _as_number(df, order)[0], cuts))
     counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     ordered = Window.orderBy("_bucket")
     layout = counts.select(
@@ -193,6 +216,7 @@ def ntile_global(df: DataFrame, tiles: int, order: str, tie: str, out: str,
         _tile_of(F.col("_before") + 1, F.col("_total"), tiles).alias("_first"),
         _tile_of(F.col("_before") + F.col("_n"), F.col("_total"), tiles).alias("_last"))
 
+    # bounded by 257 * cuts rows, so Spark may broadcast them
     whole = F.broadcast(layout.where("_first = _last").select("_bucket", "_first"))
     crossed = F.broadcast(layout.where("_first < _last").select("_bucket", "_before", "_total"))
     labelled = placed.join(whole, "_bucket").select(*df.columns, F.col("_first").alias(out))

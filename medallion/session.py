@@ -43,9 +43,9 @@ def get_spark(app_name: str = "medallion", master: str | None = None,
 
 
 def shuffle_width(input_bytes: int, bytes_per_task: int = 128 << 20,
-                  floor: int = 8, ceiling: int = 100_000) -> int:
+                  floor: int = 8) -> int:
     """Shuffle partitions so that one task handles about ``bytes_per_task``."""
-    return max(floor, min(ceiling, -(-input_bytes // bytes_per_task)))
+    return max(floor, -(-input_bytes // bytes_per_task))
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

@@ -61,10 +61,24 @@ def test_ntile_of_nothing(spark):
     assert ntile_global(df, 10, "v", "id", "tile").collect() == []
 
 
-def test_ntile_rejects_types_a_double_cannot_hold(spark):
-    df = spark.createDataFrame([(1, "a")], "v bigint, id string")
-    with pytest.raises(TypeError):
-        ntile_global(df, 10, "v", "id", "tile")
+@pytest.mark.parametrize("kind", ["bigint", "date", "timestamp", "string", "decimal(20,4)"])
+def test_ntile_orders_by_any_type(spark, kind):
+    n = F.col("id")
+    value = {
+        "bigint": F.when(n % 3 == 0, F.lit(1 << 60)).otherwise(F.lit(1 << 60) + n % 7),
+        "date": F.date_add(F.lit("2024-01-01"), (n % 9).cast("int")),
+        "timestamp": F.timestamp_millis(n % 11 * 1000),
+        "string": F.concat(F.lit("common front "), (n % 13).cast("string")),
+        "decimal(20,4)": (n % 17 / 3).cast("decimal(20,4)")}[kind]
+    df = spark.range(500).select(
+        F.col("id").cast("string").alias("id"),
+        F.when(n % 29 > 0, value).cast(kind).alias("v"))
+    rows = sorted(df.collect(), key=lambda r: (r.v is None, r.v if r.v is not None else 0,
+                                               md5(r.id), r.id))
+    got = {r.id: r.tile for r in ntile_global(df, 7, "v", "id", "tile", cuts=5).collect()}
+    sizes = [500 // 7 + (i < 500 % 7) for i in range(7)]
+    want = [t + 1 for t, size in enumerate(sizes) for _ in range(size)]
+    assert [got[r.id] for r in rows] == want
 
 
 @pytest.mark.parametrize("hot", [1, 10, 10_000])
@@ -79,8 +93,7 @@ def test_number_rows_any_hot_limit(spark, hot):
     for p, b, d in rows:
         groups.setdefault(b, []).append((p, d))
     for b, members in groups.items():
-        tie = (lambda p: (md5(p), p)) if len(members) > hot else (lambda p: (p,))
-        members.sort(key=lambda m: tie(m[0]))
+        members.sort(key=lambda m: (md5(m[0]), m[0]))
         members.sort(key=lambda m: m[1] or "", reverse=True)  # NULL day last
         assert [got[p] for p, _ in members] == list(range(1, len(members) + 1))
 
