@@ -60,9 +60,19 @@ def int_donor_program_aggregates(donor_reports: DataFrame) -> DataFrame:
 
 
 def int_survey_trends(surveys: DataFrame, beneficiaries: DataFrame) -> DataFrame:
-    """Survey answers with the beneficiary's district and programme."""
+    """Survey answers with the beneficiary's district and programme.
+
+    Answers without a beneficiary match nobody; they stay out of the join, where they
+    would all have one key.  A beneficiary with very many answers is split by adaptive
+    execution, which may split the answers' side of a left join.
+    """
     people = beneficiaries.select("beneficiary_key", "district", "program")
     answers = surveys.drop("district", "program")
-    return answers.join(
-        people, answers["beneficiary_id"] == people["beneficiary_key"], "left"
-    ).select(*MODELS["int_survey_trends"].columns)
+    out = MODELS["int_survey_trends"].columns
+    named = answers.where(F.col("beneficiary_id").isNotNull())
+    joined = named.join(
+        people, named["beneficiary_id"] == people["beneficiary_key"], "left").select(*out)
+    nobody = answers.where(F.col("beneficiary_id").isNull()).select(*(
+        F.lit(None).cast(people.schema[c].dataType).alias(c)
+        if c in people.columns and c not in answers.columns else F.col(c) for c in out))
+    return joined.unionByName(nobody)

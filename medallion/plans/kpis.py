@@ -95,12 +95,20 @@ def complaint_resolution(complaints: DataFrame) -> DataFrame:
     return _in_order(rounded, "district", "category")
 
 
+def critical_items(inventory: DataFrame) -> DataFrame:
+    """Items that ran out, one row per place and name with the number of such items."""
+    gone = inventory.where((F.col("quantity") == 0) & F.col("item_name").isNotNull())
+    return gone.groupBy("warehouse", "program", "item_type", "item_name").agg(
+        F.count(F.lit(1)).alias("items"))
+
+
 def inventory_reorder_alerts(inventory: DataFrame) -> DataFrame:
     """Items below reorder level, and the names of items that ran out.
 
     Items are first counted per name that ran out, all others together.  That
     hash aggregate takes the bulk of the rows; the string aggregate sees one row
     per group plus one per such name, and repeats a name as often as it occurs.
+    ``critical_items`` has the same names as rows, for places with very many.
     """
     place = ["warehouse", "program", "item_type"]
     low = F.col("quantity") < F.col("reorder_level")

@@ -1,21 +1,18 @@
 """Avro files whose fields are all nullable strings.
 
-Spark's own Avro source is used when its module is on the class path.  Without
-it, files are read through Hadoop's Avro text input format, and each task
-writes one container file of its partition.
+Spark's own Avro source is used when its module is on the class path.  Without it,
+files are read through Hadoop's Avro text input format, whose JSON lines are stored in
+the scratch folder and parsed by Spark, all in the JVM; writing needs the module.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.sources import storage
+from medallion.session import scratch_dir
 
 
 def has_avro_module(spark: SparkSession) -> bool:
@@ -27,7 +24,7 @@ def has_avro_module(spark: SparkSession) -> bool:
 
 
 def _number_text(x: Column) -> Column:
-    """A double in plain digits where its size allows; NaN is a missing value."""
+    """A double in plain digits where the sources write it so; NaN is a missing value."""
     size = F.abs(x)
     digits = F.regexp_replace(x.cast("decimal(38,18)").cast("string"), "0+$", "")
     plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
@@ -50,88 +47,17 @@ def stringify_all(df: DataFrame) -> DataFrame:
 def read_avro(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if has_avro_module(spark):
         return spark.read.schema(schema).format("avro").load(path)
-    text = "org.apache.hadoop.io.Text"
-    records = spark.sparkContext.hadoopFile(
-        path, "org.apache.avro.mapred.AvroAsTextInputFormat", text, text).keys()
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(records)
+    jvm, lines = spark._jvm, scratch_dir(spark, "avro-lines")
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    reader, text = (loader.loadClass(n) for n in (
+        "org.apache.avro.mapred.AvroAsTextInputFormat", "org.apache.hadoop.io.Text"))
+    spark.sparkContext._jsc.hadoopFile(path, reader, text, text).keys().saveAsTextFile(lines)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(lines)
 
 
 def write_avro(df: DataFrame, path: str) -> None:
     """Write ``df`` as all-string Avro into the new folder ``path``."""
-    spark = df.sparkSession
-    text = stringify_all(df)
-    if has_avro_module(spark):
-        text.write.format("avro").save(path)
-        return
-    if storage.exists(spark, path):
-        raise FileExistsError(path)
-    staging = storage.qualified(spark, f"{path}/_temporary")
-    storage.make_folder(spark, staging)
-    # Spark encodes the records; tasks only frame them.  Attempts write under unique
-    # names and only files of attempts whose result reached the driver are moved
-    # into place, so retries leave no copies.
-    records = text.select(_record(text.columns).alias("record"))
-    done = records.mapInPandas(_part_writer(staging, text.columns), "file string").collect()
-    for row in done:
-        storage.move(spark, f"{staging}/{row.file}", f"{path}/{row.file}")
-
-
-def _length(n: Column) -> Column:
-    """Avro's variable-length code of a byte count: low seven bits first."""
-    z = n.cast("bigint") * 2
-    last = F.ceil(F.length(F.bin(z)) / 7).cast("int") - 1
-
-    def byte(i: Column) -> Column:
-        bits = F.call_function("shiftright", z, i * 7).bitwiseAND(F.lit(127))
-        return F.lpad(F.hex(bits + F.when(i < last, 128).otherwise(0)), 2, "0")
-
-    longer = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), last), byte), ""))
-    return F.when(z < 128, F.char(z).cast("binary")).otherwise(longer)
-
-
-def _record(columns: list[str]) -> Column:
-    """One record of nullable strings: per field a branch number, then the text."""
-    def field(name: str) -> Column:
-        c = F.col(f"`{name}`")
-        some = F.concat(F.unhex(F.lit("02")), _length(F.octet_length(c)), c.cast("binary"))
-        return F.when(c.isNull(), F.unhex(F.lit("00"))).otherwise(some)
-    return F.concat(*(field(c) for c in columns))
-
-
-def _part_writer(folder: str, columns: list[str], block_rows: int = 4096):
-    """Task function writing one partition.  Self-contained: it is shipped by value."""
-    schema = json.dumps({"type": "record", "name": "Record", "fields": [
-        {"name": c, "type": ["null", "string"]} for c in columns]})
-
-    def write(batches):
-        import pandas as pd
-        from pyarrow import fs as arrow_fs
-
-        def number(n: int) -> bytes:
-            n, out = n << 1, bytearray()
-            while n > 0x7F:
-                out.append((n & 0x7F) | 0x80)
-                n >>= 7
-            out.append(n)
-            return bytes(out)
-
-        def text(s: str) -> bytes:
-            raw = s.encode("utf-8")
-            return number(len(raw)) + raw
-
-        name = f"part-{uuid.uuid4().hex}.avro"
-        marker = uuid.uuid4().bytes
-        system, base = arrow_fs.FileSystem.from_uri(folder)
-        with system.open_output_stream(f"{base}/{name}") as sink:
-            sink.write(b"Obj\x01" + number(2)
-                       + text("avro.schema") + text(schema)
-                       + text("avro.codec") + text("null")
-                       + number(0) + marker)
-            for batch in batches:
-                for start in range(0, len(batch), block_rows):
-                    block = batch["record"].iloc[start:start + block_rows]
-                    body = b"".join(block)
-                    sink.write(number(len(block)) + number(len(body)) + body + marker)
-        yield pd.DataFrame({"file": [name]})
-
-    return write
+    if not has_avro_module(df.sparkSession):
+        raise RuntimeError("writing Avro needs Spark's Avro module: start the session with "
+                           "the package org.apache.spark:spark-avro")
+    stringify_all(df).write.format("avro").save(path)

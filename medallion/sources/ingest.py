@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import json
 import logging
+import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medallion.plans.cleaning import clean
 from medallion.sources import storage
@@ -75,26 +77,59 @@ def ingest(spark: SparkSession, data_dir: str, lake: Lake,
     """Load the datasets; returns the names that failed, empty when complete.
 
     One failing dataset does not stop the others.  The manifest keeps the entries
-    of datasets that were not part of this run.
+    of datasets that were not part of this run, and names those whose latest load
+    failed.
     """
     paths = resolve(spark, data_dir, datasets, sources)
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
         loaded = pool.map(
             lambda n: ingest_dataset(spark, sources[n], paths[n], lake), paths)
         entries = {e.dataset_name: asdict(e) for e in loaded if e is not None}
-    manifest = {**read_manifest(spark, lake), **entries}
-    storage.write_text(spark, _manifest_path(lake), json.dumps(manifest, indent=2),
-                       overwrite=True)
-    return sorted(set(paths) - set(entries))
+    failed = sorted(set(paths) - set(entries))
+    _publish(spark, lake, entries, failed)
+    return failed
 
 
-def _manifest_path(lake: Lake) -> str:
-    return f"{lake.root}/bronze/_manifest.json"
+def _publish(spark: SparkSession, lake: Lake, entries: dict[str, dict],
+             failed: list[str]) -> None:
+    """Add a numbered manifest; of two runs at once the later builds on the earlier.
+
+    The file is written aside and renamed, and a rename onto an existing file fails, so
+    no reader sees half a manifest and no run's entries are lost.
+    """
+    folder = _manifest_folder(lake)
+    storage.make_folder(spark, folder)
+    for _ in range(100):
+        number, before = _latest(spark, lake)
+        manifest = {
+            "entries": {**before["entries"], **entries},
+            "failed": sorted((set(before["failed"]) - set(entries)) | set(failed))}
+        aside = f"{folder}/.{uuid.uuid4().hex}"
+        storage.write_text(spark, aside, json.dumps(manifest, indent=2), overwrite=False)
+        try:
+            storage.move(spark, aside, f"{folder}/{number + 1:06d}.json")
+            return
+        except OSError:
+            storage.remove(spark, aside)
+    raise OSError(f"the manifest in {folder} keeps changing")
+
+
+def _manifest_folder(lake: Lake) -> str:
+    return f"{lake.root}/bronze/_manifest"
+
+
+def _latest(spark: SparkSession, lake: Lake) -> tuple[int, dict]:
+    folder = _manifest_folder(lake)
+    numbers = [int(n.removesuffix(".json")) for n in storage.names(spark, folder)
+               if n.endswith(".json") and not n.startswith(".")]
+    if not numbers:
+        return -1, {"entries": {}, "failed": []}
+    number = max(numbers)
+    return number, json.loads(storage.read_text(spark, f"{folder}/{number:06d}.json"))
 
 
 def read_manifest(spark: SparkSession, lake: Lake) -> dict[str, dict]:
-    path = _manifest_path(lake)
-    return json.loads(storage.read_text(spark, path)) if storage.exists(spark, path) else {}
+    return _latest(spark, lake)[1]["entries"]
 
 
 def manifest_frame(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -107,9 +142,11 @@ def manifest_frame(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def missing_datasets(spark: SparkSession, lake: Lake,
                      expected: Iterable[str] = SOURCES) -> DataFrame:
-    """Expected datasets the manifest does not list."""
+    """Expected datasets that were never loaded or whose latest load failed."""
     names = spark.createDataFrame([(n,) for n in expected], "dataset_name string")
-    return names.join(manifest_frame(spark, lake), "dataset_name", "left_anti")
+    failed = _latest(spark, lake)[1]["failed"]
+    loaded = manifest_frame(spark, lake).where(~F.col("dataset_name").isin(failed))
+    return names.join(loaded, "dataset_name", "left_anti")
 
 
 def build_silver(lake: Lake, datasets: Iterable[str] = SOURCES) -> dict[str, int]:

@@ -36,8 +36,8 @@ class Lake:
         return f"{self.root}/{layer}/{name}"
 
     def versions(self, layer: str, name: str) -> list[int]:
-        return [int(n) for n in
-                storage.names(self.spark, f"{self._table(layer, name)}/_versions")]
+        return sorted(int(n) for n in
+                      storage.names(self.spark, f"{self._table(layer, name)}/_versions"))
 
     def write(self, df: DataFrame, layer: str, name: str) -> Snapshot:
         """Publish ``df`` as the next version; rows are counted by the write itself."""

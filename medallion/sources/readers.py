@@ -30,8 +30,14 @@ def read_csv_gz(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet carries its own schema; ``schema`` only states what to expect."""
-    return spark.read.parquet(path)
+    """Parquet carries its own schema; other names or types than expected are an error."""
+    frame = spark.read.parquet(path)
+    found = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
+    wanted = {f.name: f.dataType.simpleString() for f in schema.fields}
+    if found != wanted:
+        wrong = sorted(n for n in {*found, *wanted} if found.get(n) != wanted.get(n))
+        raise ValueError(f"{path}: columns {wrong} are not as declared")
+    return frame
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -54,8 +60,14 @@ def reader_for(fmt: str) -> Reader:
 
 
 def read_csv_dir(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every ``*.csv`` in a folder, keyed by file name; columns as text."""
+    """Every ``*.csv`` in a folder, keyed by file name; columns as text.
+
+    Quoted line breaks stay in their field; a row with other than the header's number of
+    fields is an error.
+    """
     return {
-        name[:-len(".csv")]: spark.read.csv(f"{folder}/{name}", header=True, escape='"')
+        name[:-len(".csv")]: spark.read.csv(
+            f"{folder}/{name}", header=True, multiLine=True, quote='"', escape='"',
+            mode="FAILFAST")
         for name in storage.names(spark, folder) if name.endswith(".csv")
     }

@@ -55,6 +55,11 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = _at(spark, path)
+    fs.delete(where, False)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, where = _at(spark, path)
     stream = fs.open(where)

@@ -14,9 +14,11 @@ from hypothesis import strategies as st
 from conftest import plan_of
 from medallion.sources import ingest as loading
 from medallion.sources import readers, storage, writers
-from medallion.sources.avro import read_avro, stringify_all, write_avro
+from medallion.sources.avro import has_avro_module, read_avro, stringify_all, write_avro
 from medallion.sources.lake import Lake
 from medallion.specs import SOURCES
+from workload import avro_fixture
+from workload.avro_fixture import write_avro_files
 
 NAMES = list(SOURCES)
 
@@ -25,7 +27,7 @@ NAMES = list(SOURCES)
 def data_dir(spark, inputs, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("sources"))
     for name, source in SOURCES.items():
-        writers.write_one(inputs.entity(name), f"{folder}/{source.file}", source.format)
+        avro_fixture.write_one(inputs.entity(name), f"{folder}/{source.file}", source.format)
     return folder
 
 
@@ -78,12 +80,12 @@ def test_avro_edges(spark, tmp_path):
     rows += [(str(n), "x" * n) for n in sizes] + [(str(i), "v") for i in range(9000)]
     df = spark.createDataFrame(rows, "a string, b string")
     path = str(tmp_path / "t.avro")
-    write_avro(df.repartition(3), path)
+    write_avro_files(df.repartition(3), path)
     back = read_avro(spark, path, df.schema)
     assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
     assert [n for n in storage.names(spark, path) if n.endswith(".avro")] != []
     with pytest.raises(Exception):
-        write_avro(df, path)
+        write_avro_files(df, path)
 
 
 def test_numbers_as_text_read_like_the_source_writes_them(spark):
@@ -248,3 +250,46 @@ def test_rows_of_large_gzip_files_are_spread(spark, data_dir):
     assert "RoundRobinPartitioning" in plan_of(large)
     assert "Exchange" not in plan_of(small)
     assert large.count() == small.count() == 1500
+
+
+def test_parquet_of_another_shape_is_a_failed_load(spark, lake, data_dir, tmp_path):
+    folder = str(tmp_path / "wrong")
+    spark.range(3).write.parquet(f"{folder}/{SOURCES['payments'].file}")
+    assert loading.ingest(spark, data_dir, lake, ["payments"]) == []
+    assert loading.ingest(spark, folder, lake, ["payments"]) == ["payments"]
+    missing = loading.missing_datasets(spark, lake, ["payments"])
+    assert [r.dataset_name for r in missing.collect()] == ["payments"]
+    assert list(loading.read_manifest(spark, lake)) == ["payments"]
+    assert loading.ingest(spark, data_dir, lake, ["payments"]) == []
+    assert loading.missing_datasets(spark, lake, ["payments"]).count() == 0
+
+
+def test_csv_folder_keeps_line_breaks_and_rejects_surplus_fields(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "good.csv").write_text('a,b\n1,"two\nlines"\n3,4\n')
+    good = readers.read_csv_dir(spark, str(folder))["good"]
+    assert [tuple(r) for r in good.collect()] == [("1", "two\nlines"), ("3", "4")]
+    (folder / "bad.csv").write_text("a,b\n4,5,6\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        readers.read_csv_dir(spark, str(folder))["bad"].collect()
+
+
+def test_versions_sort_as_numbers(spark, lake):
+    for n in (0, 999_999, 1_000_000):
+        storage.write_text(spark, f"{lake.root}/bronze/t/_versions/{n:06d}", "{}", False)
+    assert lake.versions("bronze", "t") == [0, 999_999, 1_000_000]
+
+
+def test_avro_reading_stays_in_the_jvm(spark, inputs, tmp_path):
+    path = str(tmp_path / "a")
+    write_avro_files(inputs.entity("inventory"), path)
+    back = read_avro(spark, path, stringify_all(inputs.entity("inventory")).schema)
+    assert "PythonRDD" not in back._jdf.queryExecution().toRdd().toDebugString()
+
+
+def test_writing_avro_without_the_module_says_so(spark, tmp_path):
+    if has_avro_module(spark):
+        pytest.skip("the module is present")
+    with pytest.raises(RuntimeError, match="Avro module"):
+        write_avro(spark.range(1), str(tmp_path / "a"))

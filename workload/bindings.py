@@ -51,7 +51,7 @@ FROM {orders}
     "surveys": """
 SELECT 'S' || CAST(event_id AS STRING) AS survey_id,
        'B' || CAST(user_id AS STRING) AS beneficiary_id,
-       CAST(ts AS DATE) AS survey_date,
+       CAST(ts AS DATE) + CAST(event_id % 540 AS INT) AS survey_date,
        CASE user_id % 3 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'MACHINERY' ELSE 'FURNITURE' END AS program,
        event_type AS metric_type,
        CAST(FLOOR(value) AS INT) AS metric_value,
@@ -140,13 +140,13 @@ FROM {lineitem} LEFT JOIN {orders} ON l_orderkey = o_orderkey LEFT JOIN {custome
 SELECT 'K' || CAST(event_id AS STRING) AS case_id,
        'F' || CAST(user_id AS STRING) AS refugee_id,
        event_type AS incident_type,
-       CAST(ts AS DATE) AS incident_date,
+       CAST(ts AS DATE) + CAST(event_id % 540 AS INT) AS incident_date,
        CASE event_id % 5 WHEN 0 THEN 'UNHCR' WHEN 1 THEN 'Police' WHEN 2 THEN 'NGO Partner' WHEN 3 THEN 'Community Leader' ELSE 'Not Reported' END AS reported_to,
        CASE event_id % 4 WHEN 0 THEN 'Open' WHEN 1 THEN 'Under Review' WHEN 2 THEN 'Referred' ELSE 'Closed' END AS case_status,
        CASE event_id * 3 % 7 WHEN 0 THEN 'Critical' WHEN 1 THEN 'High' WHEN 2 THEN 'High' WHEN 3 THEN 'Medium' ELSE 'Low' END AS risk_level,
        'NATION_' || CAST(user_id % 13 AS STRING) AS host_district,
        'W' || CAST(event_id % 40 AS STRING) AS case_worker,
-       CASE WHEN event_id % 4 = 1 THEN NULL ELSE CAST(ts AS DATE) + CAST(event_id % 90 AS INT) END AS follow_up_date
+       CASE WHEN event_id % 4 = 1 THEN NULL ELSE CAST(ts AS DATE) + CAST(event_id % 540 + event_id % 90 AS INT) END AS follow_up_date
 FROM {events}
 """,
 }

@@ -374,19 +374,31 @@ def oracle_sql() -> dict[str, str]:
         SELECT assistance_id, amount_usd, NTILE(100) OVER (
             ORDER BY amount_usd NULLS LAST, md5(assistance_id), assistance_id) AS tile
         FROM stg_refugee_assistance""", "stg_refugee_assistance")
+    for key, column, tiles in (("ntile_by_date", "payment_date", 20),
+                               ("ntile_by_amount", "amount", 50)):
+        q[key] = statement(f"""
+            SELECT payment_id, {column}, NTILE({tiles}) OVER (
+                ORDER BY {column} NULLS LAST, md5(payment_id), payment_id) AS tile
+            FROM stg_payments""", "stg_payments")
     ranked = """
         SELECT payment_id, beneficiary_id, payment_date, amount, ROW_NUMBER() OVER (
             PARTITION BY beneficiary_id
             ORDER BY payment_date DESC NULLS LAST, {tie} payment_id) AS payment_rank
         FROM {source}"""
-    by_id = ranked.format(tie="", source="stg_payments")
+    by_id = ranked.format(tie="md5(payment_id),", source="stg_payments")
     q["win_payment_rank"] = statement(by_id, "stg_payments")
-    q["win_payment_rank_hot_keys"] = statement(ranked.format(
-        tie="CASE WHEN n > 12 THEN md5(payment_id) END,",
-        source="(SELECT *, COUNT(*) OVER (PARTITION BY beneficiary_id) AS n "
-               "FROM stg_payments)"), "stg_payments")
+    q["win_payment_rank_hot_keys"] = q["win_payment_rank"]
     q["win_payment_rank_top10"] = statement(
         by_id + " ORDER BY beneficiary_id NULLS LAST, payment_rank LIMIT 10", "stg_payments")
+    # not rounded before the sum, so that small amounts count
+    q["agg_exact_sum"] = """
+        SELECT 'price' AS measure, l_returnflag AS part,
+               ROUND(fsum(l_extendedprice / 7), 2) AS total FROM lineitem GROUP BY 2
+        UNION ALL
+        SELECT 'value', event_type, ROUND(fsum(value), 4) FROM events GROUP BY 2
+        UNION ALL
+        SELECT 'tiny', l_linestatus, ROUND(fsum(l_quantity * 1e-9), 9)
+        FROM lineitem GROUP BY 2"""
     q["hist_amount"] = statement(_histogram("stg_payments", "amount", 50), "stg_payments")
     q["hist_by_group"] = statement(_histogram(
         "stg_afghan_refugees", "vulnerability_score", 30, "arrival_wave"),
@@ -508,6 +520,60 @@ def oracle_sql() -> dict[str, str]:
     q["dq_failing_rows"] = statement(
         "SELECT * FROM stg_donor_reports WHERE report_id IN (SELECT report_id "
         "FROM stg_donor_reports GROUP BY 1 HAVING COUNT(*) > 1)", "stg_donor_reports")
+    # rows that break a rule, planted by the row's own number
+    bad_pay = ("SELECT payment_id, beneficiary_id, payment_date, CASE WHEN amount % 97 = 0 "
+               "THEN -amount ELSE amount END AS amount, CASE WHEN amount % 89 = 0 THEN 'Lost' "
+               "WHEN amount % 83 = 0 THEN '?' ELSE payment_status END AS payment_status "
+               "FROM stg_payments")
+    q["dq_amount_positive_planted"] = statement(
+        "SELECT payment_id, beneficiary_id, amount, payment_date "
+        f"FROM ({bad_pay}) WHERE amount <= 0", "stg_payments")
+    q["dq_accepted_values_planted"] = statement(
+        "SELECT 'accepted_values' AS check_type, 'stg_payments' AS model, 'payment_status' "
+        "AS column_name, COUNT(DISTINCT payment_status) AS failures, COUNT(*) AS failing_rows "
+        f"FROM ({bad_pay}) WHERE payment_status IN ('Lost', '?')", "stg_payments")
+    q["dq_failing_accepted"] = statement(
+        f"SELECT * FROM ({bad_pay}) WHERE payment_status IN ('Lost', '?')", "stg_payments")
+    q["dq_failing_not_null"] = statement(
+        "SELECT * FROM stg_payments WHERE beneficiary_id IS NULL", "stg_payments")
+    q["dq_disbursed_planted"] = statement(
+        "SELECT donor, program, total_committed, total_disbursed FROM ("
+        "SELECT donor, program, total_committed, CASE WHEN report_count % 3 = 0 "
+        "THEN total_committed + report_count ELSE total_disbursed END AS total_disbursed "
+        "FROM int_donor_program_aggregates) WHERE total_disbursed > total_committed + 0.01",
+        "int_donor_program_aggregates")
+    q["kpi_invariants_planted"] = statement("""
+        SELECT 'utilisation_identity' AS property, COUNT(*) AS violations
+        FROM int_donor_program_aggregates WHERE report_count % 3 = 0 AND total_committed <> 0
+        UNION ALL SELECT 'rates_in_unit_range', COUNT(*) FROM mart_payment_kpis
+        WHERE success_rate > 0.5
+        UNION ALL SELECT 'deciles_ordered', 0
+        UNION ALL SELECT 'cumulative_monotone', COUNT(*) FROM (
+            SELECT -cumulative_cases c, LAG(-cumulative_cases) OVER (
+                PARTITION BY incident_type ORDER BY incident_month, risk_level, host_district) p
+            FROM mart_protection_caseload) WHERE p > c""",
+        "int_donor_program_aggregates", "mart_payment_kpis", "mart_protection_caseload")
+    q["clean_bad_casts"] = """
+        SELECT DISTINCT event_id,
+               CASE WHEN event_id % 7 = 0 THEN NULL ELSE 'n' || CAST(event_id % 4 AS VARCHAR) END
+                   AS item_name,
+               CASE WHEN event_id % 5 = 0 THEN NULL
+                    ELSE CAST(event_id % 1000 AS INTEGER) END AS quantity,
+               CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id * 3 END AS amount,
+               CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(ts AS TIMESTAMP) END AS last_updated
+        FROM events"""
+    q["clean_epoch_out_of_range"] = """
+        SELECT event_id,
+               CASE WHEN event_id % 4 = 0 THEN DATE '2024-01-01' + CAST(event_id % 300 AS INTEGER)
+               END AS visit_date,
+               CASE WHEN event_id % 3 = 0 THEN make_timestamp(
+                   CAST((1704067200000 + event_id * 1000) * 1000 AS BIGINT)) END AS last_updated
+        FROM events"""
+    q["inventory_critical_long"] = statement("""
+        SELECT warehouse, program, item_type, item_name, COUNT(*) AS items
+        FROM stg_inventory WHERE quantity = 0 AND item_name IS NOT NULL GROUP BY ALL""",
+        "stg_inventory")
+    q["ingest_missing_after_reload"] = "SELECT 'surveys' AS dataset_name"
     columns = {"beneficiaries": "registration_date", "payments": "payment_date",
                "surveys": "survey_date", "inventory": "last_updated",
                "complaints": "complaint_date", "donor_reports": "disbursement_date",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.functions import (
@@ -27,6 +27,7 @@ from medallion.sources import readers, writers
 from medallion.sources.avro import read_avro, stringify_all
 from medallion.sources.lake import Lake
 from medallion.specs import MODELS, SOURCES
+from workload import avro_fixture
 from workload.bindings import ENTITY_SQL, entity
 from workload.oracle import CHECKED, COPIES, FRESH_AS_OF
 
@@ -138,6 +139,22 @@ def _agg_conditional(i: Inputs) -> DataFrame:
         rate_of(resolved).alias("resolved_rate"))
 
 
+def _agg_exact_sum(i: Inputs) -> DataFrame:
+    """Sums of values with more than six decimals."""
+    lines = i.spark.read.parquet(f"{i.sf_dir}/lineitem.parquet")
+    events = i.spark.read.parquet(f"{i.sf_dir}/events.parquet")
+
+    def total(df: DataFrame, measure: str, part: str, value: Column, places: int) -> DataFrame:
+        return df.groupBy(F.col(part).alias("part")).agg(
+            round_n(exact_sum(value), places).alias("total")).select(
+            F.lit(measure).alias("measure"), "part", "total")
+
+    return _union([
+        total(lines, "price", "l_returnflag", F.col("l_extendedprice") / 7, 2),
+        total(events, "value", "event_type", F.col("value"), 4),
+        total(lines, "tiny", "l_linestatus", F.col("l_quantity") * F.lit(1e-9), 9)])
+
+
 def _scalar_dates(i: Inputs) -> DataFrame:
     staged = i.stg("complaints").select("complaint_id", "complaint_date", "resolution_date")
     in_ms = writers.dates_to_epoch_ms(staged.select(
@@ -161,14 +178,21 @@ OPERATOR_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "ntile_global": lambda i: ntile_global(  # the input is a join, so it is stored first
         settle(i.stg("refugee_assistance").select("assistance_id", "amount_usd"), "ntile"),
         100, "amount_usd", "assistance_id", "tile"),
+    "ntile_by_date": lambda i: ntile_global(
+        i.stg("payments").select("payment_id", "payment_date"),
+        20, "payment_date", "payment_id", "tile"),
+    "ntile_by_amount": lambda i: ntile_global(
+        i.stg("payments").select("payment_id", "amount"), 50, "amount", "payment_id", "tile"),
     "win_payment_rank": lambda i: history.payment_rank(i.stg("payments")),
     "win_payment_rank_hot_keys": lambda i: history.payment_rank(i.stg("payments"), hot_rows=12),
+    "agg_exact_sum": lambda i: _agg_exact_sum(i),
     "win_payment_rank_top10": lambda i: history.payment_rank_top(i.stg("payments")),
     "hist_amount": lambda i: histogram(i.stg("payments"), "amount", 50),
     "hist_by_group": lambda i: histogram_by(
         i.stg("afghan_refugees"), "arrival_wave", "vulnerability_score", 30),
     "ratio_safe": _ratio_safe,
     "agg_conditional": _agg_conditional,
+    "inventory_critical_long": lambda i: kpis.critical_items(i.stg("inventory")),
     "scalar_dates": _scalar_dates,
     "scalar_nulls": _scalar_nulls,
 }
@@ -194,12 +218,41 @@ def _counts(i: Inputs, cleaned: bool) -> DataFrame:
         {n: cleaning.clean(b) for n, b in tables.items()} if cleaned else tables)
 
 
+def _bad_casts(i: Inputs) -> DataFrame:
+    """Text that does not parse, and rows that differ only in '' against NULL."""
+    n = F.col("event_id")
+    rows = i.spark.read.parquet(f"{i.sf_dir}/events.parquet")
+    text = rows.select(
+        n, F.when(n % 7 == 0, "").otherwise(
+            F.concat(F.lit("n"), (n % 4).cast("string"))).alias("item_name"),
+        F.when(n % 5 == 0, "twelve").otherwise(
+            F.concat((n % 1000).cast("string"), F.lit(".0"))).alias("quantity"),
+        F.when(n % 3 == 0, "1e").otherwise((n * 3).cast("string")).alias("amount"),
+        F.when(n % 11 == 0, "soon").otherwise(F.col("ts").cast("string")).alias("last_updated"))
+    twins = text.where(n % 7 == 0).withColumn("item_name", F.lit(None).cast("string"))
+    return cleaning.clean(text.unionByName(twins))
+
+
+def _epoch_out_of_range(i: Inputs) -> DataFrame:
+    n = F.col("event_id")
+    rows = i.spark.read.parquet(f"{i.sf_dir}/events.parquet")
+    day = F.lit(1704067200000) + (n % 300) * 86_400_000
+    return cleaning.clean(rows.select(
+        n, F.when(n % 4 == 0, day.cast("double")).when(n % 4 == 1, F.lit(float("nan")))
+        .when(n % 4 == 2, F.lit(1e30)).otherwise(F.lit(float("-inf"))).alias("visit_date"),
+        F.when(n % 3 == 0, F.lit(1704067200000) + n * 1000)
+        .when(n % 3 == 1, F.lit(9 * 10 ** 18)).otherwise(F.lit(-9 * 10 ** 18))
+        .alias("last_updated")))
+
+
 CLEANING_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "clean_dedup": lambda i: cleaning.clean(i.bronze("payments")),
     "clean_empty_to_null": lambda i: cleaning.clean(i.entity("beneficiaries")),
     "clean_cast_types": lambda i: cleaning.clean(stringify_all(i.entity("beneficiaries"))),
     "clean_epoch_ms": lambda i: cleaning.clean(
         writers.dates_to_epoch_ms(i.entity("surveys"))),
+    "clean_bad_casts": _bad_casts,
+    "clean_epoch_out_of_range": _epoch_out_of_range,
     "clean_monotonic": _clean_monotonic,
     "clean_invariants": _clean_invariants,
     "layer_row_counts": lambda i: _counts(i, cleaned=False),
@@ -213,7 +266,7 @@ CLEANING_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
 def _file_roundtrip(name: str, fmt: str) -> Callable[[Inputs], DataFrame]:
     def run(i: Inputs) -> DataFrame:
         path = f"{i.scratch('file')}/{SOURCES[name].file}"
-        writers.write_one(i.entity(name), path, fmt)
+        avro_fixture.write_one(i.entity(name), path, fmt)
         return readers.reader_for(fmt)(i.spark, path, SOURCES[name].schema)
     return run
 
@@ -263,7 +316,7 @@ def _sink_roundtrip(i: Inputs) -> DataFrame:
     rows, folder = settle(i.entity("refugee_assistance")), i.scratch("sinks")
     text = stringify_all(rows).schema
     for fmt in writers.FORMATS:
-        writers.write_one(rows, f"{folder}/{fmt}", fmt)
+        avro_fixture.write_one(rows, f"{folder}/{fmt}", fmt)
     back = {
         "csv": i.spark.read.schema(text).csv(f"{folder}/csv", header=True, escape='"'),
         "parquet": i.spark.read.parquet(f"{folder}/parquet"),
@@ -281,7 +334,7 @@ def _sink_roundtrip(i: Inputs) -> DataFrame:
 def _write_sources(i: Inputs, names: list[str]) -> str:
     folder = i.scratch("sources")
     with ThreadPoolExecutor(loading.PARALLEL_JOBS) as pool:
-        list(pool.map(lambda n: writers.write_one(
+        list(pool.map(lambda n: avro_fixture.write_one(
             i.entity(n), f"{folder}/{SOURCES[n].file}", SOURCES[n].format), names))
     return folder
 
@@ -307,6 +360,19 @@ def _ingest_manifest(i: Inputs) -> DataFrame:
         (F.col("row_count") == F.col("stored_rows")).alias("matches"))
 
 
+def _missing_after_reload(i: Inputs) -> DataFrame:
+    """A good load, then a corrupt file under the same name."""
+    names = ["payments", "surveys"]
+    lake, folder = i.lake("lake"), _write_sources(i, names)
+    loading.ingest(i.spark, folder, lake, names)
+    again = i.scratch("corrupt")
+    avro_fixture.write_one(
+        i.entity("surveys").select(F.concat(F.lit("{"), "survey_id").alias("value")),
+        f"{again}/{SOURCES['surveys'].file}", "csv")
+    loading.ingest(i.spark, again, lake, ["surveys"])
+    return loading.missing_datasets(i.spark, lake, names)
+
+
 FILE_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "src_csv_gz": _file_roundtrip("beneficiaries", "csv.gz"),
     "src_parquet": _file_roundtrip("payments", "parquet"),
@@ -323,6 +389,7 @@ FILE_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "ingest_manifest": _ingest_manifest,
     "ingest_one": lambda i: loading.manifest_frame(i.spark, _ingest(i, ["surveys"])).select(
         "dataset_name", "row_count", "source_format"),
+    "ingest_missing_after_reload": _missing_after_reload,
     "ingest_missing": lambda i: loading.missing_datasets(
         i.spark, _ingest(i, ["payments", "surveys"])),
 }
@@ -331,7 +398,38 @@ FILE_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
 # --- quality ---------------------------------------------------------------------------
 
 def _each(i: Inputs, check: Callable, declared: Callable) -> DataFrame:
-    return _union([check(i.models[m], MODELS[m]) for m in CHECKED if declared(MODELS[m])])
+    return _union([check(_stored(i, m), MODELS[m]) for m in CHECKED if declared(MODELS[m])])
+
+
+def _planted_payments(i: Inputs) -> DataFrame:
+    """Payments some of which break a rule."""
+    amount = F.col("amount")
+    return i.stg("payments").select(
+        "payment_id", "beneficiary_id", "payment_date",
+        F.when(amount % 97 == 0, -amount).otherwise(amount).alias("amount"),
+        F.when(amount % 89 == 0, "Lost").when(amount % 83 == 0, "?")
+        .otherwise(F.col("payment_status")).alias("payment_status"))
+
+
+def _planted_donors(i: Inputs) -> DataFrame:
+    return i.models["int_donor_program_aggregates"].withColumn(
+        "total_disbursed", F.when(
+            F.col("report_count") % 3 == 0, F.col("total_committed") + F.col("report_count"))
+        .otherwise(F.col("total_disbursed")))
+
+
+def _planted_invariants(i: Inputs) -> DataFrame:
+    donors = i.models["int_donor_program_aggregates"].withColumn(
+        "utilization_pct", F.col("utilization_pct") + F.when(
+            F.col("report_count") % 3 == 0, 1.0).otherwise(0.0))
+    payments = i.models["mart_payment_kpis"]
+    rate = F.when(F.col("success_rate") > 0.5, 2.0).otherwise(F.col("success_rate"))
+    return quality.kpi_invariants(
+        donors, payments.withColumns({
+            "success_rate": rate, "rolling_3m_avg_success_rate": F.lit(0.5)}),
+        kpis.refugee_vulnerability(i.stg("afghan_refugees")),
+        i.models["mart_protection_caseload"].withColumn(
+            "cumulative_cases", -F.col("cumulative_cases")))
 
 
 def _stored(i: Inputs, model: str) -> DataFrame:
@@ -347,6 +445,15 @@ QUALITY_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_disbursed_lte_committed": lambda i: quality.disbursed_over_committed(
         i.models["mart_donor_budget_vs_actual"]),
     "dq_amount_positive": lambda i: quality.amount_not_positive(i.stg("payments")),
+    "dq_amount_positive_planted": lambda i: quality.amount_not_positive(_planted_payments(i)),
+    "dq_accepted_values_planted": lambda i: quality.accepted_values(
+        _planted_payments(i), MODELS["stg_payments"]),
+    "dq_disbursed_planted": lambda i: quality.disbursed_over_committed(_planted_donors(i)),
+    "dq_failing_accepted": lambda i: quality.failing_rows(
+        _planted_payments(i), MODELS["stg_payments"], "accepted_values", "payment_status"),
+    "dq_failing_not_null": lambda i: quality.failing_rows(
+        i.stg("payments"), MODELS["stg_payments"], "not_null", "beneficiary_id"),
+    "kpi_invariants_planted": _planted_invariants,
     "dq_failing_rows": lambda i: quality.failing_rows(
         i.stg("donor_reports"), MODELS["stg_donor_reports"], "unique", "report_id"),
     "dq_freshness": lambda i: quality.freshness(
