@@ -24,7 +24,7 @@ def documents(spark, rows, extra=CLASHES):
 
 
 PLAIN = "the quick brown fox jumps over the lazy dog and runs far away from here today"
-LONG = " ".join(f"word{i % 977} tail" for i in range(40_000))
+LONG = " ".join(f"word{i % 977} tail" for i in range(12_000))
 ODD_ROWS = [
     (1, PLAIN), (2, PLAIN), (2, PLAIN), (3, None), (4, ""), (5, "   \n\t "), (None, PLAIN),
     (None, None), (6, "x" * 50_000), (7, LONG), (8, LONG + " more"), (9, "one"),

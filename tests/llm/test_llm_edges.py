@@ -108,7 +108,7 @@ def test_contamination_of_odd_rows(odd, spark, none):
     assert out[1, 16]["n_hit"] == 11 and out[1, 16]["n_items"] == 1
     assert out[3, 0]["contaminated"] is False and out[4, 0]["n_hit"] == 0
     assert out[9, 1]["contaminated"] and out[9, 1]["n_items"] == 0  # an item without an id
-    assert out[7, 80_000]["n_items"] == 1
+    assert out[7, 24_000]["n_items"] == 1
     empty = spark.createDataFrame([], "item_id bigint, text string")
     report = decontaminate.contamination_report(odd.select("doc_id", "text"), empty)
     assert report.where("contaminated").count() == 0
