@@ -78,7 +78,7 @@ def words_of(texts: pa.Array) -> Words:
     return Words(raw, bounds, np.searchsorted(start, bounds), start, end, hashes)
 
 
-def sliced(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, Words]]:
+def sliced(texts: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int, Words]]:
     """Words of row ranges of about ``limit`` bytes."""
     import pyarrow.compute as pc
 
