@@ -204,20 +204,25 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, label, key, text, modulus, held_out, sample_rows)
     sample = sample.dropDuplicates(["_text"])
-    word = F.explode(F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}'’]+", -1)))
-    words = sample.select("_id", "_y", word.alias("_w")).where(F.length("_w") >= 3)
+    word = F.explode(F.split(F.lower("_text"), r"[^\p{L}'’]+", -1))
+    words = sample.select("_id", "_y", word.alias("_w")).where(F.length("_w") >= 3).groupBy(
+        "_id", "_y", "_w").agg(F.count(F.lit(1)).alias("_n"))
     stem = F.explode(F.concat(
         F.array(F.concat(F.lit("w:"), F.col("_w"))),
         F.transform(F.filter(F.array(*map(F.lit, STEM_SIZES)), lambda n: n <= F.length("_w")),
                     lambda n: F.concat(F.lit("s:"), F.substring(F.col("_w"), F.lit(1), n)))))
-    terms = words.select("_id", "_y", stem.alias("_t")).distinct()
+    terms = words.select("_id", "_y", "_n", stem.alias("_t")).groupBy("_id", "_y", "_t").agg(
+        F.sum("_n").alias("_n"))
     counted = terms.groupBy("_t").agg(
-        F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
-    size = {r["_y"]: r["count"] for r in sample.groupBy("_y").count().collect()}
+        F.sum("_y").alias("pos"), F.sum(F.col("_n") * F.col("_y")).alias("toxic"),
+        F.sum(F.col("_n") * (1 - F.col("_y"))).alias("clean"))
+    size = {r["_y"]: r["n"] for r in words.groupBy("_y").agg(F.sum("_n").alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
         return Grammar({}, {})
-    weight = F.log((F.col("pos") + 0.5) / (n1 + 1)) - F.log((F.col("neg") + 0.5) / (n0 + 1))
+    # how much more often the term occurs among the words of toxic documents
+    weight = (F.log((F.col("toxic") + 0.5) / (n1 + 1))
+              - F.log((F.col("clean") + 0.5) / (n0 + 1)))
     best = counted.withColumn("weight", weight).where(
         (F.col("pos") >= 3) & (F.col("weight") >= 1.5)).orderBy(
         F.desc("pos"), F.desc("weight"), "_t").limit(candidates)
