@@ -15,6 +15,7 @@ RENAMED = {
     "stg_refugee_protection": {"assigned_officer": "case_worker"},
 }
 
+# Columns staged under another type.
 TYPED = {
     "date": ("registration_date", "last_payment_date", "payment_date", "survey_date",
              "complaint_date", "resolution_date", "disbursement_date", "last_verification",
@@ -28,6 +29,7 @@ TYPED = {
 }
 _TYPE_OF = {c: t for t, cols in TYPED.items() for c in cols}
 
+# Columns in which an empty text means NULL.
 BLANK_IS_NULL = {
     "stg_beneficiaries": ("cnic", "name", "gender", "phone", "district", "tehsil",
                           "union_council", "program", "bank_account"),

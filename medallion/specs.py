@@ -121,6 +121,7 @@ def _w(text: str) -> tuple[str, ...]:
     return tuple(text.split())
 
 
+# Columns, grain and checks of the eighteen models.
 MODELS: dict[str, ModelSpec] = {
     m.name: m
     for m in (
