@@ -72,7 +72,7 @@ def byte_slices(lengths, limit: int) -> Iterator[tuple[int, int]]:
 # --- pieces of a text that a piece tokenizer encodes independently ------------------
 
 _CUT = re.compile("(?<=[^ ▁])[ ▁]")
-_ODD = re.compile("^[ ▁]|[ ▁]{2}|[ ▁]$|▁")
+MARK = "▁"
 
 
 def segments(text: str) -> list[str]:
@@ -85,7 +85,8 @@ def segments(text: str) -> list[str]:
     """
     if not text:
         return []
-    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+    odd = "  " in text or MARK in text or text[0] == " " or text[-1] == " "
+    return _CUT.split(text) if odd else text.split(" ")
 
 
 def front_marks_only(pieces) -> bool:
