@@ -118,7 +118,7 @@ class Grammar:
 class Reader:
     """Runs the composed transducer over texts."""
 
-    def __init__(self, grammar: Grammar, cache_entries: int = 400_000):
+    def __init__(self, grammar: Grammar, cache_entries: int = 150_000):
         self.fixed = {w: s for s, words in FIXED.items() for w in words.split()}
         self.grammar = grammar
         self.symbol = Recent(self._symbol, cache_entries)
