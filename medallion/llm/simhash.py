@@ -30,7 +30,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.common import free_names, quoted, store, text_of
@@ -153,24 +153,35 @@ def _same(old: DataFrame, new: DataFrame) -> bool:
     return mark(old) == mark(new)
 
 
+def _marks(docs: DataFrame, key: str, text: str, shingle: int, carry: list[str]) -> DataFrame:
+    """The ``carry`` columns as ``_c0``.., ``_key``, ``_fp``, and ``_row``, another number in
+    each row.  Stored once, so texts are hashed once and the numbers stay."""
+    return store(docs.select(
+        *(F.col(quoted(c)).alias(f"_c{i}") for i, c in enumerate(carry)),
+        F.col(quoted(key)).alias("_key"),
+        fingerprints(text_of(text), shingle).alias("_fp"),
+        F.monotonically_increasing_id().alias("_row")), "fingerprints")
+
+
+def _rooted(prints: DataFrame, edges: DataFrame) -> DataFrame:
+    """``prints`` plus ``root``, the smallest fingerprint of the component."""
+    roots = components(edges).withColumnRenamed("root", "_root")
+    return prints.join(roots, F.col("fp") == F.col("node"), "left").select(
+        *prints.columns, F.coalesce("_root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     shingle: int = 3, carry: list[str] | None = None) -> DataFrame:
     """The ``carry`` columns (default: all) plus ``fingerprint`` (hex), ``component_id``
     and ``n_links``, the number of other fingerprints within 2 bits.
-
-    Rows are stored once with their fingerprint, so texts are hashed once.
     """
     carry = docs.columns if carry is None else carry
     kept = [f"_c{i}" for i in range(len(carry))]
-    marks = store(docs.select(
-        *(F.col(quoted(c)).alias(k) for c, k in zip(carry, kept)),
-        F.col(quoted(key)).alias("_key"),
-        fingerprints(text_of(text), shingle).alias("_fp")), "fingerprints")
+    marks = _marks(docs, key, text, shingle, carry)
     prints = marks.groupBy(F.col("_fp").alias("fp")).agg(F.min("_key").alias("_least"))
     edges = store(links(prints.select("fp")), "fingerprint-links")
     degree = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
-    classes = prints.join(components(edges), F.col("fp") == F.col("node"), "left").select(
-        "fp", "_least", F.coalesce("root", "fp").alias("root"))
+    classes = _rooted(prints, edges)
     ids = classes.groupBy("root").agg(F.min("_least").alias("_id"))
     classes = classes.join(ids, "root").join(
         degree, F.col("fp") == F.col("node"), "left").select(
@@ -185,15 +196,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                          shingle: int = 3) -> DataFrame:
-    """``docs`` with the document of the smallest key of each component, columns unchanged."""
-    found = near_duplicates(docs, key, text, shingle)
-    comp = found.columns[-2]
-    # a component whose keys are all NULL, or a key that stands in several rows, leaves
-    # candidates that only a row number tells apart
-    first = found.where(F.col(quoted(key)).eqNullSafe(F.col(quoted(comp))))
-    group = Window.partitionBy(quoted(comp), F.when(
-        F.col(quoted(comp)).isNull(), F.col(quoted(found.columns[-3])))).orderBy(
-        quoted(found.columns[-3]))
-    nth = free_names(first, "_nth")[0]
-    return first.withColumn(nth, F.row_number().over(group)).where(F.col(nth) == 1).select(
-        *(F.col(quoted(c)) for c in docs.columns))
+    """``docs`` with one row of each component, the one of the smallest key; columns unchanged.
+
+    NULL keys come last; rows of one key are told apart by fingerprint, then by a hash of the
+    row.  The choice is a minimum per fingerprint, then per component's root: a key that
+    stands in several components leaves a row in each.
+    """
+    marks = _marks(docs, key, text, shingle, docs.columns)
+    plain = [f"_c{i}" for i, (_, kind) in enumerate(docs.dtypes) if "map<" not in kind]
+    best = marks.groupBy(F.col("_fp").alias("fp")).agg(F.min(F.struct(
+        F.col("_key").isNull(), "_key", fingerprint_hex(F.col("_fp")),
+        F.xxhash64(*plain), "_row")).alias("_best"))
+    best = store(best, "least-rows")
+    edges = store(links(best.select("fp")), "fingerprint-links")
+    chosen = _rooted(best, edges).groupBy("root").agg(F.min("_best").alias("_best"))
+    rows = chosen.select(F.col("_best._row").alias("_chosen"))
+    return marks.join(rows, F.col("_row") == F.col("_chosen"), "left_semi").select(
+        *(F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)))

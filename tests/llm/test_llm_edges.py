@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from conftest import ODD_ROWS
+from conftest import ODD_ROWS, PLAIN, documents
 from pyspark.sql import functions as F
 
 from medallion.llm import (
@@ -102,6 +102,29 @@ def test_near_copies_leave_one_row_per_component(odd):
     assert out.count() == found.select(found.columns[-2]).distinct().count()
 
 
+def test_a_key_of_several_texts_leaves_one_row_per_component(spark):
+    far = "an entirely different text about ships that sail to distant harbours at night"
+    texts = [f"{w} {PLAIN} {w} {far} {w}" for w in ("one", "two", "three")]
+    docs = documents(spark, [(1, PLAIN), (1, far), (1, far), (1, texts[0]), (5, far)])
+    out = simhash.drop_near_duplicates(docs)
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == sorted(
+        [(1, PLAIN), (1, far), (1, texts[0])])
+
+
+def test_linked_fingerprints_of_null_keys_leave_one_row(spark, monkeypatch):
+    prints = {"a": 0b1, "b": 0b11, "c": 0b111, "d": 0xFF00FF00}
+
+    def numbers(text, shingle=3):
+        return F.create_map(*(F.lit(x) for p in prints.items() for x in p))[text].cast("bigint")
+
+    monkeypatch.setattr(simhash, "fingerprints", numbers)
+    docs = documents(spark, [(None, "a"), (None, "b"), (None, "c"), (None, "d"), (None, "d")])
+    rows = [r["text"] for r in simhash.drop_near_duplicates(docs).collect()]
+    assert len(rows) == 2 and "d" in rows
+    docs = documents(spark, [(None, "a"), (7, "b"), (8, "c")])
+    assert [r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()] == [7]
+
+
 def test_contamination_of_odd_rows(odd, spark, none):
     out = {(r["doc_id"], r["n_words"]): r for r in decontaminate.contamination_report(
         odd.select("doc_id", "text"), benchmark_of(spark)).collect()}
