@@ -20,6 +20,7 @@ from medallion.llm import (
     toxicity,
 )
 from medallion.llm.common import crc_remainder
+from medallion.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +77,8 @@ def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+    return sharding.shard_report(
+        table(spark, sf_dir, "documents"), scratch_dir(spark, "shards"))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

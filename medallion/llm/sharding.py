@@ -1,10 +1,12 @@
 """Sharding by a two-pass external shuffle.
 
 Pass one scatters records into buckets by a seeded hash; their number follows
-from the total size, so that a bucket fits in a task's memory.  Pass two shuffles
-each bucket (Spark's ``shuffle`` of an array is a Fisher-Yates shuffle).  The
-buckets laid end to end are one random order of all records; dealing it out in
-turn gives shards whose row counts differ by at most one (law ``rows``).
+from the total size, so that a bucket fits in a task's memory.  Pass two sorts
+each bucket by a second seeded hash: every order is equally likely, as by Fisher-Yates,
+but depends on neither partitions nor the order of rows (Spark's ``shuffle`` of an array
+seeds itself by partition).  The buckets laid end to end are one random order of all
+records; dealing it out in turn gives shards whose row counts differ by at most one (law
+``rows``).  ``write_shards`` and ``assign_shards`` give a record the same place.
 
 The hash covers the key and the text, so neither a NULL key nor a text shared by a
 third of all rows fills a bucket.  Offsets are summed over one row per bucket.
@@ -17,8 +19,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from medallion.llm.common import quoted, store, text_of
+from medallion.llm.common import free_names, quoted, store, text_of
 
 
 def record_size(text: str = "text") -> Column:
@@ -26,25 +29,23 @@ def record_size(text: str = "text") -> Column:
 
 
 def shuffled(docs: DataFrame, columns: dict[str, Column], key: str, text: str, seed: int,
-             bucket_bytes: int, row_bytes: Column) -> DataFrame:
+             bucket_bytes: int) -> DataFrame:
     """``columns`` of every record plus ``_at``, its place in one random order of all."""
     id_, body = F.col(quoted(key)), text_of(text)
     names = [f"_c{i}" for i in range(len(columns))]
-    total = docs.agg(F.sum(row_bytes)).first()[0] or 0
+    total = docs.agg(F.sum(record_size(text))).first()[0] or 0
     buckets = max(1, -(-int(total) // bucket_bytes))
     scattered = docs.select(
         F.pmod(F.xxhash64(F.lit(seed), id_, F.xxhash64(body)), F.lit(buckets)).alias("_bucket"),
         F.struct(F.xxhash64(F.lit(seed + 1), id_, F.xxhash64(body)).alias("_h"), *(
             c.alias(n) for n, c in zip(names, columns.values()))).alias("_row"))
-    # sorted by hash first: the order in which rows arrive leaves no trace
     mixed = store(scattered.groupBy("_bucket").agg(
-        F.shuffle(F.array_sort(F.collect_list("_row"), _by_hash), seed).alias("_rows")),
-        "shuffled-buckets")
+        F.array_sort(F.collect_list("_row"), _by_hash).alias("_rows")), "shuffled-buckets")
     sizes = mixed.select("_bucket", F.size("_rows").cast("bigint").alias("_n"))
     before = sizes.select(
         F.col("_bucket").alias("_b"),
         (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_before"))
-    return mixed.join(before, F.col("_bucket") == F.col("_b")).select(
+    return mixed.join(F.broadcast(before), F.col("_bucket") == F.col("_b")).select(
         "_before", F.posexplode("_rows").alias("_i", "_row")).select(
         (F.col("_before") + F.col("_i")).alias("_at"),
         *(F.col(f"_row.{n}").alias(name) for n, name in zip(names, columns)))
@@ -54,36 +55,67 @@ def _by_hash(a: Column, b: Column) -> Column:
     return F.when(a["_h"] < b["_h"], -1).when(a["_h"] > b["_h"], 1).otherwise(0)
 
 
+def _place(shards: int) -> tuple[Column, Column]:
+    """Shard and slot of a place in the order."""
+    return ((F.col("_at") % shards).cast("int"), F.floor(F.col("_at") / shards).cast("bigint"))
+
+
+def _report(rows: DataFrame, key: str, size: Column, crc: Column, shard: Column,
+            slot: Column) -> DataFrame:
+    return rows.select(
+        F.col(quoted(key)), size.alias("size"), crc.alias("text_crc32"),
+        F.lit("rows").alias("law"), shard.alias("shard"), slot.alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def text_crc32(text: str) -> Column:
+    return F.crc32(text_of(text).cast("binary")).cast("bigint")
+
+
 def assign_shards(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text",
-                  seed: int = 42, bucket_bytes: int = 4 << 20) -> DataFrame:
+                  seed: int = 42, bucket_bytes: int = 32 << 20) -> DataFrame:
     """Per record: key, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
 
-    Only these short columns are moved, about 40 bytes a record.
+    Only these short columns are moved and nothing is put into a shard; the places are those
+    of ``write_shards`` with the same arguments.
     """
     rows = shuffled(
-        docs, {key: F.col(quoted(key)), "size": record_size(text),
-               "text_crc32": F.crc32(text_of(text).cast("binary")).cast("bigint")},
-        key, text, seed, bucket_bytes, F.lit(40))
-    return rows.select(
-        F.col(quoted(key)), "size", "text_crc32", F.lit("rows").alias("law"),
-        (F.col("_at") % shards).cast("int").alias("shard"),
-        F.floor(F.col("_at") / shards).cast("bigint").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"))
+        docs, {"_k": F.col(quoted(key)), "_size": record_size(text), "_crc": text_crc32(text)},
+        key, text, seed, bucket_bytes)
+    return _report(rows.withColumnRenamed("_k", key), key, F.col("_size"), F.col("_crc"),
+                   *_place(shards))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40, key: str = "doc_id",
                  text: str = "text", seed: int = 42, bucket_bytes: int = 32 << 20) -> None:
     """Write the whole records, one folder ``shard=N`` each, in shuffled order.
 
-    Records of a shard may span files: each bucket writes its part, and file names sort
-    by bucket.
+    Records of a shard may span files: each bucket writes its part, with the ``slot`` of
+    each record.  Where the table has columns of these names, ours have underscores in front.
     """
+    shard, slot = free_names(docs, "shard", "slot")
     columns = {f"_w{i}": F.col(quoted(c)) for i, c in enumerate(docs.columns)}
-    rows = shuffled(docs, columns, key, text, seed, bucket_bytes, record_size(text))
+    rows = shuffled(docs, columns, key, text, seed, bucket_bytes)
+    at_shard, at_slot = _place(shards)
     rows.select(
-        (F.col("_at") % shards).cast("int").alias("shard"),
-        F.floor(F.col("_at") / shards).cast("bigint").alias("slot"),
-        *(F.col(f"_w{i}").alias(c) for i, c in enumerate(docs.columns)
-          if c not in ("shard", "slot")),
-    ).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(
-        path, mode="errorifexists")
+        *(F.col(f"_w{i}").alias(c) for i, c in enumerate(docs.columns)),
+        at_slot.alias(slot), at_shard.alias(shard),
+    ).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(
+        path, mode="errorifexists", compression="zstd")
+
+
+def read_shards(docs: DataFrame, path: str) -> DataFrame:
+    """The records that ``write_shards(docs, path)`` wrote, with their slot and shard."""
+    shard, slot = free_names(docs, "shard", "slot")
+    schema = T.StructType([*docs.schema.fields, T.StructField(slot, T.LongType()),
+                           T.StructField(shard, T.IntegerType())])
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def shard_report(docs: DataFrame, path: str, shards: int = 40, key: str = "doc_id",
+                 text: str = "text", seed: int = 42, bucket_bytes: int = 32 << 20) -> DataFrame:
+    """Write the shards and read them back; the columns of ``assign_shards``, from the files."""
+    write_shards(docs, path, shards, key, text, seed, bucket_bytes)
+    shard, slot = free_names(docs, "shard", "slot")
+    return _report(read_shards(docs, path), key, record_size(text), text_crc32(text),
+                   F.col(shard), F.col(slot))

@@ -167,3 +167,19 @@ def test_shards_on_disk_hold_whole_records(odd, spark, tmp_path):
     sharding.write_shards(odd, path, shards=3, bucket_bytes=1000)
     back = spark.read.parquet(path).select(*odd.columns)
     assert Counter(map(tuple, back.collect())) == Counter(map(tuple, odd.collect()))
+
+
+def test_reported_places_are_those_of_the_files(spark, tmp_path):
+    docs = documents(spark, [*ODD_ROWS, *((i, f"text {i}") for i in range(100, 400))],
+                     extra=("shard", "Slot"))
+    path = str(tmp_path / "shards")
+    got = sharding.shard_report(docs, path, shards=5, bucket_bytes=20_000)
+    want = sharding.assign_shards(docs.repartition(3), shards=5, bucket_bytes=20_000)
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    sizes = Counter(r["shard"] for r in got.collect())
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    back = sharding.read_shards(docs, path)
+    assert Counter(map(tuple, back.select(*docs.columns).collect())) == Counter(
+        map(tuple, docs.collect()))
+    assert len(list((tmp_path / "shards").glob("_shard=*"))) == 5
+    assert got.inputFiles() and all(path in f for f in got.inputFiles())
