@@ -155,6 +155,60 @@ def test_rounds_and_chunks_do_not_change_scores(spark):
         assert many[i]["base_score"] == pytest.approx(row["base_score"], rel=1e-9)
 
 
+def plain_tree(texts, least, depth=3):
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    mined = pa.Table.from_batches(list(suffix_tree._mine(iter([batch]), 0, depth + 1, 10 ** 9)))
+    mined = mined.to_pandas()
+    grams = [np.sort(mined[mined.k == k].gram.to_numpy(np.int64).view(np.uint64))
+             for k in range(1, depth + 2)]
+    counts = pa.Table.from_batches(list(suffix_tree._count_found(iter([batch]), grams))).to_pandas()
+    symbols = int(counts[counts.k == 0].n.iloc[0])
+    rows = mined.merge(counts[(counts.k > 0) & (counts.n >= least)], on=["k", "gram"])
+    return suffix_tree.build_tree(rows, symbols, depth, 0.75), symbols
+
+
+def test_scores_are_those_of_the_tree_in_one_place(spark):
+    import pyarrow as pa
+
+    from medallion.llm.bytewords import words_of
+    r = random.Random(8)
+    texts = [" ".join(r.choices("abcdefgh", weights=range(8, 0, -1), k=20)) + " a b c d e f g h"
+             for _ in range(150)]
+    tree, symbols = plain_tree(texts[:-1], 5)
+    assert all(map(len, tree.context))
+    known = Counter(w for t in texts[:-1] for w in [*t.split(), None])
+    root = suffix_tree.Root(symbols, len(known), sum(n == 1 for n in known.values()),
+                            sum(n == 2 for n in known.values()))
+    got = small_model(spark, texts, least=5, chunk_bytes=700)
+    for i, t in enumerate(texts):
+        s = suffix_tree.symbols_of(words_of(pa.array([t])))
+        count = np.array([0] + [known[w] for w in [*t.split(), None]])
+        want = suffix_tree.log_probabilities(s, root.probability(count), tree)[1:].sum()
+        assert got[i]["score"] == pytest.approx(want, rel=1e-9)
+
+
+def test_contexts_stay_when_the_corpus_grows(spark):
+    """A phrase found 40 times is 5e-6 of 8 million symbols; it helps among 10 million too."""
+    phrase = "one two three four five six"
+    texts = [*[phrase] * 40, *[f"{w} x" for w in phrase.split() * 200], phrase]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").unionByName(
+        spark.range(10_000, 10_100).select(F.col("id").alias("doc_id"),
+                                           F.repeat(F.lit("x "), 100_000).alias("text")))
+    last = F.col("doc_id") == len(texts) - 1
+    row = suffix_tree.score_texts(docs, train=~last).where(last).first()
+    assert row["train_tokens"] * 5e-6 > 40
+    assert row["score"] > row["base_score"] + 8
+
+
+def test_blocks_ask_for_no_more_than_the_whole():
+    """Start marks do not count: a block of short texts reports what reaches the share."""
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", *[""] * 98, "b b"])], ["t"])
+    mined = pa.Table.from_batches(list(suffix_tree._mine(iter([batch]), 1 / 60, 1, 10 ** 6)))
+    assert len(mined) == 3  # the start, the end and b: 2 of 103 symbols
+
+
 def test_next_symbol_distributions_sum_to_one():
     """Over all known words, the end and one other symbol, after every history."""
     import pyarrow as pa
