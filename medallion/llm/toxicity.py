@@ -5,7 +5,11 @@ reported speech, clause end, other) with a weight.  Small transducers for target
 negation, reported speech and the match itself are composed into one table of states
 and gains; running it over a document scores matched clauses: an insult counts more
 when its clause has a target, less after a negation or in reported speech, and a
-threat counts only with a target.  A document's evidence is the sum over clauses.
+threat counts only with a target.  The summed clauses are set against what as many words of
+clean text hold by chance: mean and spread of clean evidence per word are learned from the
+sample.  A document's evidence is the largest such excess, of the whole document or of one of
+its blocks of ``BLOCK`` words, so long clean texts do not add up to a match and a toxic
+passage is not lost in a long text.
 
 The grammar's words are a short fixed list plus words and word stems learned from
 labelled rows: those far more frequent in toxic documents, chosen so that each toxic
@@ -26,14 +30,14 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import Recent, crc_remainder, free_names, quoted, text_of
+from medallion.llm.common import Recent, crc_remainder, free_names, quoted, store, text_of
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
@@ -54,6 +58,7 @@ FIXED_WEIGHT = 3.0
 STEM_SIZES = range(4, 9)
 STRIP = ".,;:!?\"'()[]{}<>*#$%&|-–—«»“”„"
 CLAUSE_END = (".", "!", "?", ";", ":")
+BLOCK = 128
 
 
 # --- transducers ----------------------------------------------------------------------
@@ -113,6 +118,11 @@ class Grammar:
     stems: dict[str, float]
     centre: float = math.log1p(1.5)
     slope: float = 4.0
+    rate: float = 0.0    # clean evidence per word
+    spread: float = 0.0  # its variance per word
+
+    def excess(self, evidence: float, words: int) -> float:
+        return max(0.0, evidence - self.rate * words) / math.sqrt(1 + self.spread * words)
 
 
 class Reader:
@@ -138,31 +148,37 @@ class Reader:
         return symbol, FIXED_WEIGHT if symbol in (INSULT, THREAT) else 0.0, ends
 
     def evidence(self, text: str) -> float:
-        """The summed weight of the matched clauses."""
-        total = 0.0
+        """The largest excess of matched clauses, of the text or of one block of it."""
+        total, words, best = 0.0, 0, 0.0
+        held, size = 0.0, 0
         for line in text.lower().split("\n"):
             symbols = list(map(self.symbol.__getitem__, line.split()))
-            if not any([s[1] for s in symbols]):
-                continue
-            total += self._clauses(symbols)
+            matched = any([s[1] for s in symbols])
+            for n, gain in self._clauses(symbols) if matched else [(len(symbols), 0.0)]:
+                total, words = total + gain, words + n
+                if size + n > BLOCK:
+                    best = max(best, self.grammar.excess(held, size))
+                    held, size = 0.0, 0
+                held, size = held + gain, size + n
         self.symbol.age()
-        return total
+        return max(best, self.grammar.excess(held, size), self.grammar.excess(total, words))
 
-    def _clauses(self, symbols: list[tuple[int, float, bool]]) -> float:
-        """A target may follow its insult, so clauses with one start in its state."""
-        total, start = 0.0, 0
+    def _clauses(self, symbols: list[tuple[int, float, bool]]) -> Iterator[tuple[int, float]]:
+        """Words and gain of each clause.  A target may follow its insult, so clauses with
+        one start in its state."""
+        start = 0
         for stop, (_, _, ends) in enumerate(symbols, 1):
             if not ends and stop < len(symbols):
                 continue
             clause = symbols[start:stop]
             start = stop
-            state = 0
+            state, total = 0, 0.0
             if any(s[0] == TARGET for s in clause):
                 state = STEP[state][TARGET]
             for symbol, weight, _ in clause:
                 total += weight * GAIN[state][symbol]
                 state = STEP[state][symbol]
-        return total
+            yield len(clause), total
 
 
 def evidence(text: Column, grammar: Grammar) -> Column:
@@ -203,7 +219,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Learn words, stems and the turning point from labelled training rows."""
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, label, key, text, modulus, held_out, sample_rows)
-    sample = sample.dropDuplicates(["_text"])
+    sample = store(sample.dropDuplicates(["_text"]), "labelled-sample")
     word = F.explode(F.split(F.lower("_text"), r"[^\p{L}'’]+", -1))
     words = sample.select("_id", "_y", word.alias("_w")).where(F.length("_w") >= 3).groupBy(
         "_id", "_y", "_w").agg(F.count(F.lit(1)).alias("_n"))
@@ -224,13 +240,19 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     weight = (F.log((F.col("toxic") + 0.5) / (n1 + 1))
               - F.log((F.col("clean") + 0.5) / (n0 + 1)))
     best = counted.withColumn("weight", weight).where(
-        (F.col("pos") >= 3) & (F.col("weight") >= 1.5)).orderBy(
+        # a stem stands for words that the sample does not show: it needs more support
+        (F.col("pos") >= F.when(F.col("_t").startswith("s:"), 6).otherwise(3))
+        & (F.col("weight") >= 1.5)).orderBy(
         F.desc("pos"), F.desc("weight"), "_t").limit(candidates)
     chosen = best.collect()
     found = terms.where("_y = 1").join(
         F.broadcast(spark.createDataFrame([(r["_t"],) for r in chosen] or [("",)], "_t string")),
         "_t").select("_t", "_id").collect()
     grammar = _cover({r["_t"]: r["weight"] for r in chosen}, found)
+    clean = sample.where("_y = 0").select(
+        evidence(F.col("_text"), grammar).alias("e"),
+        F.size(F.split(F.trim("_text"), r"\s+", -1)).alias("w")).collect()
+    grammar = _with_length(grammar, [(r["e"], r["w"]) for r in clean])
     seen = sample.select(evidence(F.col("_text"), grammar).alias("e"), "_y").collect()
     return _centred(grammar, [(math.log1p(r["e"]), r["_y"]) for r in seen])
 
@@ -256,6 +278,13 @@ def _cover(weights: dict[str, float], found: list, times: int = 3, least: int =
     return Grammar(words, stems)
 
 
+def _with_length(grammar: Grammar, clean: list[tuple[float, int]]) -> Grammar:
+    """Mean and variance per word of the evidence in clean documents."""
+    words = max(1, sum(w for _, w in clean))
+    rate = sum(e for e, _ in clean) / words
+    return replace(grammar, rate=rate, spread=sum((e - rate * w) ** 2 for e, w in clean) / words)
+
+
 def _centred(grammar: Grammar, points: list[tuple[float, int]]) -> Grammar:
     """Put the turn where balanced accuracy on the sample is best."""
     points = sorted(points)
@@ -268,7 +297,7 @@ def _centred(grammar: Grammar, points: list[tuple[float, int]]) -> Grammar:
         gain = below0 / n0 + 1 - below1 / n1
         if x_next > x and gain > best:
             best, centre = gain, (x + x_next) / 2
-    return Grammar(grammar.words, grammar.stems, centre, grammar.slope)
+    return replace(grammar, centre=centre)
 
 
 # --- use ------------------------------------------------------------------------------

@@ -298,6 +298,31 @@ def test_clauses_are_scored_not_words():
     assert reader.evidence("") == 0
 
 
+def test_long_clean_texts_do_not_add_up_to_toxic_ones(spark):
+    r = random.Random(3)
+    plain = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+
+    def text(n, strays):
+        words = r.choices(plain, k=n)
+        for at in r.sample(range(n), strays):
+            words[at] = "zorgblat."
+        return " ".join(w + "." * (i % 9 == 8) for i, w in enumerate(words))
+
+    toxic = "you zorgblat. such a zorgblat! all zorgblat."
+    rows = [(i, f"{text(30, 0)}. {toxic} {text(30, 0)}", 1) for i in range(60)]
+    rows += [(i, text(n := r.choice((60, 100, 200, 2000)), n // 400), 0) for i in range(60, 300)]
+    rows += [(i, text(20_000, 50), 0) for i in range(300, 310)]
+    rows += [(i, f"{text(10_000, 25)}. {toxic * 3} {text(10_000, 25)}", 1) for i in range(310, 315)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 300],
+                                   "doc_id bigint, toxic int")
+    got = {x["doc_id"]: x["predicted"] for x in toxicity.score_toxicity(
+        docs, toxicity.learn(docs, labels)).collect()}
+    assert sum(got[i] for i in range(300, 310)) == 0
+    assert sum(got[i] for i in range(310, 315)) == 5
+    assert sum(got[i] for i in range(60)) >= 57 and sum(got[i] for i in range(60, 300)) <= 5
+
+
 def test_gradients_are_those_of_the_loss():
     r = np.random.default_rng(1)
     bags = [r.normal(size=(n, 5)) for n in (1, 3, 4)]
