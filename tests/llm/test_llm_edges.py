@@ -143,6 +143,15 @@ def test_contamination_of_odd_rows(odd, spark, none):
         sent.select("_key", "n_hit").collect(), key=str)
 
 
+def test_the_report_has_a_row_for_every_document(odd, spark):
+    docs = odd.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(None, None), (1, PLAIN)], "doc_id bigint, text string"))
+    report = decontaminate.contamination_report(docs, benchmark_of(spark))
+    assert Counter(r["doc_id"] for r in report.collect()) == Counter(
+        r["doc_id"] for r in docs.collect())
+    assert report.where("doc_id = 2 and n_hit = 11").count() == 2
+
+
 def test_spans_are_cut_out(spark):
     docs = spark.createDataFrame(
         [(1, "Start: quick BROWN fox jumps over the lazy dog, and runs far... end!"),
