@@ -6,9 +6,9 @@ labels alone, weighs the passages, and the weighted representation is scored:
 ``h = tanh(x W)``, ``a = softmax(w . (tanh(h V) * sigmoid(h U)))``,
 ``score = sigmoid(c . sum(a h) + b)``.
 
-Learning uses at most ``sample_rows`` labelled documents per class, drawn by hash, and of
-each at most ``sample_passages`` passages, evenly spaced, so what the driver receives
-has a fixed largest size.  Scoring reads every passage of every document; nothing is
+Learning uses at most ``sample_rows`` labelled documents per class, drawn by hash, each with
+all its passages.  What the driver receives is bounded by taking fewer of these documents:
+in hash order as many as ``sample_bytes`` of features hold.  Scoring reads every passage of every document; nothing is
 shuffled.
 
 Edge cases: NULL and empty texts are one passage of zero words; very long texts are read
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.bytewords import SPACE, Words, sliced
-from medallion.llm.common import free_names, text_of
+from medallion.llm.common import free_names, store, text_of
 from medallion.llm.toxicity import labelled_sample
 
 PASSAGE = 64
@@ -129,7 +129,7 @@ def train_network(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 16,
     """Mini-batch Adam on the cross-entropy, both classes weighing the same."""
     rng = np.random.default_rng(seed)
     flat = np.concatenate(bags)
-    shift, spread = flat.mean(axis=0), flat.std(axis=0)
+    shift, spread = flat.mean(axis=0, dtype=float), flat.std(axis=0, dtype=float)
     d = flat.shape[1]
     net = Network(shift, 1 / np.maximum(spread, 1e-3),
                   rng.normal(0, d ** -0.5, (d, hidden)), rng.normal(0, 0.25, (hidden, gate)),
@@ -171,8 +171,8 @@ def _gradients(net: Network, x: np.ndarray, first: np.ndarray, y: np.ndarray,
             "w": (t * g).T @ de, "c": f["z"].T @ dy, "b": np.array([dy.sum()])}
 
 
-def sampled_bags(sample: DataFrame, sample_passages: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Feature bags and labels of the sample, at most ``sample_passages`` passages each."""
+def sampled_bags(sample: DataFrame, sample_bytes: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Feature bags and labels of the sample; whole bags, of about ``sample_bytes`` in all."""
 
     @F.arrow_udf("binary")
     def bag(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -180,25 +180,32 @@ def sampled_bags(sample: DataFrame, sample_passages: int) -> tuple[list[np.ndarr
             out = []
             for _, _, words in sliced(batch):
                 x, per_bag = passage_features(words)
-                for rows in np.split(x, np.cumsum(per_bag)[:-1]):
-                    if len(rows) > sample_passages:
-                        rows = rows[np.linspace(0, len(rows) - 1, sample_passages).astype(int)]
-                    out.append(rows.tobytes())
+                out += [rows.tobytes() for rows in np.split(x, np.cumsum(per_bag)[:-1])]
             yield pa.array(out, pa.binary())
 
-    rows = sample.select("_id", "_y", bag(F.col("_text")).alias("bag")).toPandas()
-    rows = rows.sort_values("_id", kind="stable")
-    bags = [np.frombuffer(b, np.float32).reshape(-1, N_FEATURES).astype(float)
-            for b in rows["bag"]]
+    stored = store(sample.select("_id", "_y", bag(F.col("_text")).alias("bag"),
+                                 F.monotonically_increasing_id().alias("_row")), "bags")
+    sizes = stored.select("_row", "_y", F.xxhash64("_id").alias("_h"), "_id",
+                          F.length("bag").alias("n")).toPandas()
+    sizes = sizes.sort_values(["_h", "_id", "_row"], kind="stable")
+    # each class has its half; the first that does not fit ends the row, however long it is
+    before = sizes.groupby("_y")["n"].cumsum() - sizes["n"]
+    fits = (before + sizes["n"] <= sample_bytes // 2) | (before == 0)
+    if not fits.all():
+        chosen = sample.sparkSession.createDataFrame(
+            [(int(r),) for r in sizes["_row"][fits]], "_row bigint")
+        stored = stored.join(F.broadcast(chosen), "_row", "left_semi")
+    rows = stored.select("_id", "_y", "bag").toPandas().sort_values("_id", kind="stable")
+    bags = [np.frombuffer(b, np.float32).reshape(-1, N_FEATURES) for b in rows["bag"]]
     return bags, rows["_y"].to_numpy(float)
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           label: str = "quality", modulus: int = 3, held_out: int = 1,
-          sample_rows: int = 2000, sample_passages: int = 32) -> Network | None:
+          sample_rows: int = 2000, sample_bytes: int = 64 << 20) -> Network | None:
     """The network, or None without training rows of both classes."""
     sample = labelled_sample(docs, labels, label, key, text, modulus, held_out, sample_rows)
-    bags, y = sampled_bags(sample, sample_passages)
+    bags, y = sampled_bags(sample, sample_bytes)
     if not len(y) or y.min() == y.max():
         return None
     return train_network(bags, y)

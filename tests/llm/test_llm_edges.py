@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from conftest import ODD_ROWS, PLAIN, documents
+from conftest import LONG, ODD_ROWS, PLAIN, documents
 from pyspark.sql import functions as F
 
 from medallion.llm import (
@@ -161,6 +161,15 @@ def test_spans_are_cut_out(spark):
         1: "Start: end!", 2: "clean text"}
 
 
+def test_long_texts_are_learned_whole(spark):
+    sample = spark.createDataFrame(
+        [(1, 1, LONG), (2, 0, PLAIN), (3, 0, PLAIN)], "_id bigint, _y int, _text string")
+    bags, y = quality_mil.sampled_bags(sample, 64 << 20)
+    assert [len(b) for b in bags] == [24_000 // quality_mil.PASSAGE, 1, 1] and list(y) == [1, 0, 0]
+    few, y = quality_mil.sampled_bags(sample, 200)  # fewer rows, not fewer passages
+    assert sorted(map(len, few)) == [1, 24_000 // quality_mil.PASSAGE] and sorted(y) == [0, 1]
+
+
 def test_shards_of_odd_rows(odd, none):
     rows = sharding.assign_shards(odd.select("doc_id", "text"), shards=4).collect()
     sizes = Counter(r["shard"] for r in rows)
