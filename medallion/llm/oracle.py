@@ -59,10 +59,58 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
        sha256(loss) AS loss_sha256, formatted_chars
 FROM s"""
 
+# every order is played step by step, the Shapley sums are sums over these steps
+FILTER_AUDIT = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                     lambda x: x <> '') AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+f AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(d.t) - length(regexp_replace(d.t, '[A-Z]', '', 'g')))
+                     > 5 * length(d.t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(d.t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN least < doc_id THEN 16 ELSE 0 END AS mask
+  FROM d JOIN first ON d.t = first.t),
+marks AS (SELECT doc_id, coalesce(max(quality = 1), false) AS good,
+                 coalesce(max(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g,
+             count(*) FILTER (toxic) AS x
+      FROM f LEFT JOIN marks USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, b)),
+o AS (SELECT '' AS filter_order, 0 AS used
+      UNION ALL
+      SELECT filter_order || l, used + b FROM o, letters WHERE used & b = 0),
+s AS (
+  SELECT filter_order, step, l, b, CAST((
+           SELECT coalesce(sum(e.b), 0) FROM letters e
+           WHERE strpos(substr(filter_order, 1, step - 1), e.l) > 0) AS INTEGER) AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS step), letters
+  WHERE used = 31 AND l = substr(filter_order, step, 1)),
+r AS (
+  SELECT part, filter_order, step, b,
+         coalesce(sum(n) FILTER (mask & (before | b) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & b > 0), 0) AS removed,
+         coalesce(sum(n) FILTER (mask & before > 0 AND mask & b > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = b), 0) AS unique_fails,
+         coalesce(sum(g) FILTER (mask & before = 0 AND mask & b > 0), 0) AS good_lost,
+         coalesce(sum(x) FILTER (mask & before = 0 AND mask & b > 0), 0) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, b)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, b) AS BIGINT) AS shapley
+FROM r"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_decontamination": DECONTAMINATION,
         "op8_content_sort": CONTENT_SORT,
         "op10_chat_format": CHAT_FORMAT,
+        "op11_filter_audit": FILTER_AUDIT,
     }

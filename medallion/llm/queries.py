@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, with production parameters."""
+"""The operators over their whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from medallion.llm import (
     chat_format,
     content_sort,
     decontaminate,
+    filter_audit,
     pieces,
     quality_mil,
     sharding,
@@ -102,6 +103,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -114,4 +120,5 @@ def queries() -> dict[str, Query]:
         "op8_content_sort": op8_content_sort,
         "op9_sharding": op9_sharding,
         "op10_chat_format": op10_chat_format,
+        "op11_filter_audit": op11_filter_audit,
     }
