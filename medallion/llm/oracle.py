@@ -106,6 +106,31 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
        CAST(sum(removed) OVER (PARTITION BY part, b) AS BIGINT) AS shapley
 FROM r"""
 
+HARD_NEGATIVES = r"""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding,
+                        lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor, r.vec_id AS other, a.label = r.label AS same,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1),
+                                      lambda i: a.v[i] * r.v[i])) AS BIGINT) AS score
+  FROM r a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor, other, score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT p.anchor, p.other AS positive, p.score AS top, s.other, s.score,
+         row_number() OVER (PARTITION BY p.anchor, p.other
+                            ORDER BY s.score DESC, s.other) AS rank
+  FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same
+       AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor AS anchor_id, positive AS positive_id, CAST(rank AS INTEGER) AS rank,
+       other AS negative_id, top AS positive_score, score AS negative_score
+FROM n WHERE rank <= 5"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -113,4 +138,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_content_sort": CONTENT_SORT,
         "op10_chat_format": CHAT_FORMAT,
         "op11_filter_audit": FILTER_AUDIT,
+        "op13_hard_negatives": HARD_NEGATIVES,
     }

@@ -12,6 +12,7 @@ from medallion.llm import (
     content_sort,
     decontaminate,
     filter_audit,
+    hard_negatives,
     pieces,
     quality_mil,
     sharding,
@@ -108,6 +109,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(
+        table(spark, sf_dir, "embeddings"), is_anchor=F.col("id") % 100 == 0, label=label)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -121,4 +128,5 @@ def queries() -> dict[str, Query]:
         "op9_sharding": op9_sharding,
         "op10_chat_format": op10_chat_format,
         "op11_filter_audit": op11_filter_audit,
+        "op13_hard_negatives": op13_hard_negatives,
     }
