@@ -106,6 +106,27 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
        CAST(sum(removed) OVER (PARTITION BY part, b) AS BIGINT) AS shapley
 FROM r"""
 
+# all common shingles of all pairs, then everything reachable from each document
+NGRAM_JOIN = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 1) + 1),
+         lambda i: array_to_string(w[i:i + 2], ' '))) AS gram
+  FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION
+      SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
+       coalesce((SELECT min(b) FROM r WHERE r.a = d.doc_id), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id)"""
+
 HARD_NEGATIVES = r"""
 WITH r AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -138,5 +159,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_content_sort": CONTENT_SORT,
         "op10_chat_format": CHAT_FORMAT,
         "op11_filter_audit": FILTER_AUDIT,
+        "op12_ngram_join": NGRAM_JOIN,
         "op13_hard_negatives": HARD_NEGATIVES,
     }

@@ -13,6 +13,7 @@ from medallion.llm import (
     decontaminate,
     filter_audit,
     hard_negatives,
+    ngram_join,
     pieces,
     quality_mil,
     sharding,
@@ -109,6 +110,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine_hard_negatives(
@@ -128,5 +133,6 @@ def queries() -> dict[str, Query]:
         "op9_sharding": op9_sharding,
         "op10_chat_format": op10_chat_format,
         "op11_filter_audit": op11_filter_audit,
+        "op12_ngram_join": op12_ngram_join,
         "op13_hard_negatives": op13_hard_negatives,
     }
