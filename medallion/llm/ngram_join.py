@@ -16,8 +16,8 @@ its class is listed in the next, too.
 
 Candidate pairs are entries of the product to be computed: overlaps are added up by column
 blocks, and a pair is left as soon as its difference is beyond the bound.  Before its
-n-grams are fetched, a pair must pass the bound on 256 parities (each n-gram flips one bit;
-bits that differ cannot be more than n-grams that differ).
+n-grams are fetched, a pair must pass the bounds on its sizes and on 1,024 parities (each
+n-gram flips one bit; bits that differ cannot be more than n-grams that differ).
 
 Groups of near copies would have pairs in the square of their size.  So a list first gives
 the pairs of its smallest member with the others; the components of those that link are
@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.bytewords import Words, mix, sliced
@@ -48,6 +48,7 @@ from medallion.llm.common import free_names, quoted, store, text_of
 from medallion.llm.simhash import components
 
 FILTER_BITS = 1 << 25
+PARITY_BITS = 1024
 COLUMN_BLOCK = 4096  # n-grams of a document whose overlap is added up at once
 
 
@@ -132,8 +133,12 @@ class Bounds:
         return common >= 0 and self.den * common >= self.num * (len(a) + len(b) - common)
 
 
+_PARITIES = [f"p{i}" for i in range(PARITY_BITS // 64)]
+
+
 def _parities(grams: np.ndarray) -> np.ndarray:
-    odd = np.bincount((grams & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    odd = np.bincount((grams & np.uint64(PARITY_BITS - 1)).astype(np.int64),
+                      minlength=PARITY_BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -147,8 +152,8 @@ def _name(grams: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in both.view(np.int64))
 
 
-_SET = ("struct<n:bigint,hi:bigint,lo:bigint,p0:bigint,p1:bigint,p2:bigint,p3:bigint,"
-        "blocks:array<bigint>>")
+_SET = ("struct<n:bigint,hi:bigint,lo:bigint,"
+        + "".join(f"{p}:bigint," for p in _PARITIES) + "blocks:array<bigint>>")
 
 
 def _sets(text, n: int, bounds: Bounds):
@@ -163,13 +168,13 @@ def _sets(text, n: int, bounds: Bounds):
                     parities.append(_parities(grams))
                     listed.append(bounds.listed(grams).view(np.int64))
             names = np.array(names, np.int64).reshape(-1, 2)
-            parities = np.array(parities, np.int64).reshape(-1, 4)
+            parities = np.array(parities, np.int64).reshape(-1, len(_PARITIES))
             ends = np.cumsum([0, *map(len, listed)])
             flat = np.concatenate(listed) if listed else np.zeros(0, np.int64)
             yield pa.StructArray.from_arrays(
                 [pa.array(sizes, pa.int64()), *map(pa.array, names.T), *map(pa.array, parities.T),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                ["n", "hi", "lo", "p0", "p1", "p2", "p3", "blocks"])
+                ["n", "hi", "lo", *_PARITIES, "blocks"])
 
     return describe(text)
 
@@ -227,18 +232,21 @@ def _checked(pairs: DataFrame, grams: DataFrame, bounds: Bounds) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(link("_a", "_b")).select("a", "b")
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose sizes and parities allow a link."""
-    few = ["n", "p0", "p1", "p2", "p3"]
-    for end in ("a", "b"):
-        pairs = pairs.join(sets.select(
-            F.col("set").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in few)), end)
-    flips = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in few[1:]),
-                F.lit(0))
-    small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    return pairs.where(
-        (small * den >= large * num)
-        & (flips * (den + num) <= (F.col("a_n") + F.col("b_n")) * (den - num))).select("a", "b")
+def _possible(left: str, right: str, num: int, den: int) -> Column:
+    """Whether sizes and parities (columns with these suffixes) allow a link."""
+    flips = sum((F.bit_count(F.col(p + left).bitwiseXOR(F.col(p + right)))
+                 for p in _PARITIES), F.lit(0))
+    a, b = F.col("n" + left), F.col("n" + right)
+    return ((a * den >= b * num) & (b * den >= a * num)
+            & (flips * (den + num) <= (a + b) * (den - num)))
+
+
+def _described(pairs: DataFrame, sets: DataFrame, ends: str) -> DataFrame:
+    """Pairs of set ids with the sizes and parities of both."""
+    for end in ends:
+        pairs = pairs.join(sets.select(F.col("set").alias(end), *(
+            F.col(c).alias(f"{c}_{end}") for c in ("n", *_PARITIES))), end)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 3,
@@ -256,7 +264,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
         "ngram-sets")
     sets = store(marks.where("_s.n > 0").select("_key", "_s.*").groupBy("hi", "lo").agg(
         F.min("_key").alias("least"), F.first(F.struct(
-            "n", "p0", "p1", "p2", "p3", "blocks")).alias("_f")).select(
+            "n", *_PARITIES, "blocks")).alias("_f")).select(
         F.monotonically_increasing_id().alias("set"), "hi", "lo", "least", "_f.*"), "sets")
 
     # a list of one gives no pair; others get the smallest member as their centre
@@ -266,7 +274,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     listed = store(entries.join(shared.select("block", "centre"), "block"), "block-lists")
     stars = listed.where("set <> centre").select(
         F.col("centre").alias("a"), F.col("set").alias("b")).distinct()
-    stars = _possible(stars, sets, num, den)
+    stars = _described(stars, sets, "ab").where(_possible("_a", "_b", num, den)).select("a", "b")
 
     names = listed.select("set").distinct().join(sets.select("set", "hi", "lo"), "set")
     grams = store(_fetched(docs, text, n, names.select("hi", "lo")).join(
@@ -281,14 +289,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     placed = rooted(listed.select("block", "set"))
     mixed = placed.groupBy("block").agg(F.min("root").alias("_r"), F.max("root").alias("_s")).where(
         "_r < _s").select("block")
-    placed = placed.join(mixed, "block").join(sets.select("set", "n"), "set")
+    # sizes and parities are compared in the join: it makes no pair that they rule out
+    placed = placed.join(mixed, "block").join(sets.select("set", "n", *_PARITIES), "set")
     left, right = (placed.select("block", *(
-        F.col(c).alias(f"{c}_{end}") for c in ("set", "root", "n"))) for end in "ab")
-    across = left.join(right, "block").where(
-        f"set_a < set_b and root_a <> root_b and n_a * {den} >= n_b * {num} "
-        f"and n_b * {den} >= n_a * {num}").select(
+        F.col(c).alias(f"{c}_{end}") for c in ("set", "root", "n", *_PARITIES))) for end in "ab")
+    across = left.join(right, [
+        left["block"] == right["block"], F.col("set_a") < F.col("set_b"),
+        F.col("root_a") != F.col("root_b"), _possible("_a", "_b", num, den)]).select(
         F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
-    more = _checked(_possible(across, sets, num, den), grams, bounds)
+    more = _checked(across, grams, bounds)
     # links between components hang one root to the other
     joined = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("_ra")),
                        "a", "left").join(

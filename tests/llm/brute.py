@@ -82,3 +82,86 @@ def unigram(docs):
     return {i: (len(t), sum(counts[x] > 0 for x in t), n,
                 sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in t))
             for i, t in tokens.items()}
+
+
+def audit(rows, labels):
+    """Documents removed step by step, order by order: rows of (key, text, part), labels of
+    (key, quality, toxic) -> (part, order, step) -> the other columns."""
+    from itertools import permutations
+
+    good = {k for k, q, _ in labels if q == 1 and k is not None}
+    toxic = {k for k, _, x in labels if x == 1 and k is not None}
+    first = {}
+    for k, t, _ in rows:
+        if k is not None:
+            first[t or ""] = min(first.get(t or "", k), k)
+
+    def failed(k, t):
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        return {c for c, bad in (
+            ("A", len(w) < 50), ("B", 100 * len(set(w)) < 65 * len(w)),
+            ("C", 100 * len(re.findall("[A-Z]", t)) > 5 * len(t)),
+            ("D", bool(re.search(r"[#$%&*|]", t))), ("E", k is not None and first[t] < k)) if bad}
+
+    parts = collections.defaultdict(list)
+    for k, t, part in rows:
+        parts[part or ""].append((k, failed(k, t)))
+    out = {}
+    for part, docs in parts.items():
+        total = collections.Counter()
+        for order in permutations("ABCDE"):
+            left = docs
+            for step, c in enumerate(order, 1):
+                gone = [k for k, bad in left if c in bad]
+                left = [(k, bad) for k, bad in left if c not in bad]
+                total[c] += len(gone)
+                out[part, "".join(order), step] = [
+                    len(left), len(gone), sum(c in bad for _, bad in docs) - len(gone),
+                    sum(bad == {c} for _, bad in docs), sum(k in good for k in gone),
+                    sum(k in toxic for k in gone), c]
+        for key in out:
+            if key[0] == part:
+                out[key][-1] = total[out[key][-1]]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def shingles(text, n=3):
+    w = words(text)
+    return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def jaccard_components(docs, num=9, den=10):
+    """docs = [(id, text)] -> list of (id, set size, component id), one per row."""
+    sets = [shingles(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and den * len(a & b) >= num * len(a | b):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (k, _) in enumerate(docs):
+        if k is not None:
+            least[find(i)] = min(least.get(find(i), k), k)
+    return [(k, len(sets[i]), least.get(find(i))) for i, (k, _) in enumerate(docs)]
+
+
+def hard_negatives(rows, is_anchor, k=5):
+    """rows = [(id, vector, label)] -> tuples in the order of the operator's columns."""
+    rows = {(i, tuple(math.floor(256 * x) for x in v), label) for i, v, label in rows
+            if None not in (i, v, label) and all(x is not None and math.isfinite(x) for x in v)}
+    out = []
+    for a, q, label in rows:
+        if not is_anchor(a):
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(q, v)), i, c) for i, v, c in rows if i != a)
+        for p, i, _ in [r for r in scored if r[2] == label][:k]:
+            inside = [(-s, j) for s, j, c in scored if c != label and 80 * -p <= 100 * -s <= 100 * -p]
+            out += [(a, i, n, j, -p, s) for n, (s, j) in enumerate(inside[:k], 1)]
+    return sorted(out)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from conftest import LONG, ODD_ROWS, PLAIN, documents
+from llm_tables import LONG, ODD_ROWS, PLAIN, documents
 from pyspark.sql import functions as F
 
 from medallion.llm import (
     content_sort,
     decontaminate,
+    ngram_join,
     pieces,
     quality_mil,
     sharding,
@@ -32,6 +33,7 @@ KEEPING = {
     "token_counts": lambda d, l: token_counts.count_tokens(d, model_path()),
     "suffix_tree": lambda d, l: suffix_tree.score_texts(d),
     "simhash": lambda d, l: simhash.near_duplicates(d),
+    "ngram_join": lambda d, l: ngram_join.near_duplicates(d),
     "pieces": lambda d, l: pieces.piece_digests(d, model_path()),
     "pieces_full": lambda d, l: pieces.encode_pieces(d, model_path()),
     "toxicity": lambda d, l: toxicity.score_toxicity(d, toxicity.learn(d, l)),

@@ -13,7 +13,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from llm_tables import SF
 from pyspark.sql import functions as F
 
 from medallion.llm import (
