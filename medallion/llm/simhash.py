@@ -120,7 +120,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Large-star and small-star steps in turn: neighbours hang themselves to the smallest
     node they know until nothing changes, in a logarithmic number of rounds.
     """
-    edges = store(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    # larger end first, as all later rounds have it: links that are a forest of stars already
+    # are settled as they stand
+    edges = store(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")),
+                  "links")
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))

@@ -127,6 +127,16 @@ def test_linked_fingerprints_of_null_keys_leave_one_row(spark, monkeypatch):
     assert [r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()] == [7]
 
 
+@pytest.mark.parametrize("links", [[(1, 2), (1, 3)], [(3, 1), (2, 1)], [(5, 4)], [],
+                                   [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7)]])
+def test_components_name_each_node_once(spark, links):
+    edges = spark.createDataFrame(links, "a bigint, b bigint")
+    got = sorted(tuple(r) for r in simhash.components(edges).select("node", "root").collect())
+    nodes = sorted({n for e in links for n in e})
+    least = {n: 7 if n > 6 else min(nodes) for n in nodes}
+    assert got == [(n, least[n]) for n in nodes]
+
+
 def test_contamination_of_odd_rows(odd, spark, none):
     out = {(r["doc_id"], r["n_words"]): r for r in decontaminate.contamination_report(
         odd.select("doc_id", "text"), benchmark_of(spark)).collect()}

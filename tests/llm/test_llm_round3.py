@@ -70,12 +70,12 @@ def test_join_of_odd_rows(odd, none):
 def _varied(rng, base, changes):
     w = base[:]
     for _ in range(changes):
-        at = rng.randrange(len(w))
+        at = rng.randrange(len(w) + 1)
         w[at:at + rng.randrange(2)] = [f"new{rng.randrange(10**6)}"] * rng.randrange(2)
     return w
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_join_finds_every_component(spark, seed):
     """Groups around the threshold, chains, a passage in every text, tiny texts, copies."""
     rng, texts = random.Random(seed), []
