@@ -17,6 +17,21 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                   how: str = "inner") -> DataFrame:
+    """``left`` with the other columns of ``right``; NULL keys match each other.
+
+    The keys are renamed first, so both sides may come from one frame.
+    """
+    others = [c for c in right.columns if c not in keys]
+    renamed = right.select(*(F.col(k).alias(f"_r_{k}") for k in keys), *others)
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        eq = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = eq if i == 0 else cond & eq
+    return left.join(renamed, cond, how).drop(*(f"_r_{k}" for k in keys))
+
+
 def enrich_then_total(
     fact: DataFrame,
     dim: DataFrame,

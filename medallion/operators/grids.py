@@ -15,14 +15,18 @@ def grid_long(df: DataFrame, index: str, columns: str, out: str, agg: Column) ->
 
 
 def pivot_grid(df: DataFrame, index: str, columns: str, agg: Column,
-               values: Sequence[object] | None = None) -> DataFrame:
+               values: Sequence[object] | None = None, most: int = 2_000) -> DataFrame:
     """The same grid with one column per value.
 
-    Without ``values`` the headers, one per distinct value, are looked up first.
+    Without ``values`` the headers, one per distinct value, are looked up first; more than
+    ``most`` of them are an error, since no grid of that width can be drawn.
     """
     labelled = df.where(F.col(index).isNotNull() & F.col(columns).isNotNull())
     if values is None:
-        values = sorted(r[0] for r in labelled.select(columns).distinct().collect())
+        found = labelled.select(columns).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{columns} has more than {most} values; give the wanted ones")
+        values = sorted(r[0] for r in found)
     names = [str(v) for v in values]
     wide = labelled.groupBy(index).pivot(columns, list(values)).agg(agg)
     return wide.toDF(index, *names)

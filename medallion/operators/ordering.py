@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.operators.enrich import null_safe
+from medallion.operators.enrich import join_null_safe, null_safe
 from medallion.session import settle
 
 _LANES = 256
@@ -118,6 +118,39 @@ def number_rows(df: DataFrame, keys: Sequence[str], newest_first: str, tie: str,
     return rest.unionByName(busy_out)
 
 
+def rank_rows(df: DataFrame, keys: Sequence[str], highest_first: str, out: str,
+              cuts: int = 127) -> DataFrame:
+    """``RANK() OVER (PARTITION BY keys ORDER BY highest_first DESC NULLS LAST)``.
+
+    ``highest_first`` is a number.  Each key's values are cut at approximate quantiles.
+    Rows between two cuts are ranked in a task of their own; rows equal to a cut, or NULL,
+    all tie, so they need no order and may lie in any number of tasks.  A value that holds
+    more than about one row in ``cuts`` is a cut itself.  Since ties never lie in two
+    pieces, a row's rank is its rank in its piece plus the rows in higher pieces.  The cuts
+    decide who does the work, never the result; all is one lazy plan.
+    """
+    keys, v = list(keys), F.col(highest_first)
+    shares = F.array(*(F.lit(i / (cuts + 1)) for i in range(1, cuts + 1)))
+    points = df.groupBy(*keys).agg(
+        F.array_distinct(F.percentile_approx(v, shares, F.lit(cuts * 8))).alias("_cuts"))
+    placed = join_null_safe(df, points, keys, "left")
+    known = v.isNotNull()
+    above = F.size(F.filter("_cuts", lambda c: c > v))
+    tied = ~known | F.coalesce(F.array_contains("_cuts", v), F.lit(False))
+    placed = placed.withColumns({
+        "_piece": F.when(known, above * 2 + F.when(tied, 1).otherwise(0))
+        .otherwise(2 * cuts + 2),
+        "_lane": F.when(tied, F.spark_partition_id()).otherwise(-1)}).drop("_cuts")
+    pieces = [*keys, "_piece"]
+    counts = placed.groupBy(*pieces).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(*pieces, (F.sum("_n").over(  # at most 2 * cuts + 3 rows per key
+        Window.partitionBy(*keys).orderBy("_piece")) - F.col("_n")).alias("_before"))
+    inside = placed.withColumn("_inside", F.rank().over(
+        Window.partitionBy(*pieces, "_lane").orderBy(v.desc_nulls_last())))
+    return join_null_safe(inside, before, pieces).select(
+        *df.columns, (F.col("_inside") + F.col("_before")).cast("bigint").alias(out))
+
+
 def _as_number(df: DataFrame, order: str) -> tuple[Column, Column]:
     """A DOUBLE that sorts like ``order``, and whether it stands for one value only."""
     kind, c = df.schema[order].dataType, F.col(order)

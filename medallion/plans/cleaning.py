@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions import blank_to_null, epoch_ms_to_date, epoch_ms_to_timestamp, round_n
+from medallion.operators import distinct_by_digest
 
 # The name patterns that decide a column's silver type.
 DATE_SUFFIXES = ("_date", "_verification")
@@ -65,9 +66,14 @@ def normalise(df: DataFrame) -> DataFrame:
     return df.select(*(_clean_column(f) for f in df.schema.fields))
 
 
-def clean(df: DataFrame) -> DataFrame:
-    """The whole cleaning step.  Copies collapse on the map side before the shuffle."""
-    return normalise(df).dropDuplicates()
+def clean(df: DataFrame, by_digest: bool = False) -> DataFrame:
+    """The whole cleaning step.  Copies collapse on the map side before the shuffle.
+
+    ``by_digest`` is for wide stored tables with few copies: rows are known by 128 bits
+    first, and only those that may be repeated are shuffled whole.  Same rows either way.
+    """
+    rows = normalise(df)
+    return distinct_by_digest(rows) if by_digest else rows.dropDuplicates()
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -61,10 +61,16 @@ class Models:
         return self._made[name]
 
 
+# the month that reports choose ranges of: files hold separate months
+SORTED_BY = {"mart_payment_kpis": "reporting_month", "mart_protection_caseload": "incident_month",
+             "mart_survey_metric_trends": "survey_month"}
+
+
 def build_gold(lake: Lake) -> dict[str, int]:
     """Write every mart once as a gold table; returns the new version per mart."""
     models = Models(lambda table: lake.read("silver", table))
     marts_to_build = {n: models[n] for n, spec in MODELS.items() if spec.layer == "marts"}
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
-        done = pool.map(lambda n: lake.write(marts_to_build[n], "gold", n), marts_to_build)
+        done = pool.map(lambda n: lake.write(
+            marts_to_build[n], "gold", n, SORTED_BY.get(n)), marts_to_build)
         return {n: snapshot.version for n, snapshot in zip(marts_to_build, done)}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.functions import exact_sum, safe_ratio
+from medallion.functions import PARTS, exact_parts, exact_sum, exact_total, safe_ratio
 from medallion.specs import MODELS
 
 
@@ -46,19 +46,31 @@ def int_refugees_assistance(refugees: DataFrame, assistance: DataFrame) -> DataF
         *(computed.get(c, F.col(c)).alias(c) for c in out))
 
 
-def int_donor_program_aggregates(donor_reports: DataFrame) -> DataFrame:
-    """Committed and disbursed totals per donor and programme."""
-    totals = donor_reports.groupBy("donor", "program").agg(
-        exact_sum("amount_committed").alias("total_committed"),
-        exact_sum("amount_disbursed").alias("total_disbursed"),
+def donor_parts(donor_reports: DataFrame) -> DataFrame:
+    """Sums per donor and programme in exact parts; parts of separate sets of reports add up."""
+    return donor_reports.groupBy("donor", "program").agg(
+        *exact_parts("amount_committed", "committed"),
+        *exact_parts("amount_disbursed", "disbursed"),
         F.count("report_id").alias("report_count"),
         F.min("disbursement_date").alias("first_disbursement_date"),
         F.max("disbursement_date").alias("last_disbursement_date"))
+
+
+def donor_totals(parts: DataFrame) -> DataFrame:
+    """Committed and disbursed totals from their parts."""
+    totals = parts.withColumns({
+        f"total_{m}": exact_total(*(F.col(f"{m}_{p}") for p in PARTS))
+        for m in ("committed", "disbursed")})
     return totals.withColumn(
         "utilization_pct", safe_ratio("total_disbursed", "total_committed", 100)
     ).select(*MODELS["int_donor_program_aggregates"].columns)
 
 
+def int_donor_program_aggregates(donor_reports: DataFrame) -> DataFrame:
+    """Committed and disbursed totals per donor and programme."""
+    return donor_totals(donor_parts(donor_reports))
+
+
 def int_survey_trends(surveys: DataFrame, beneficiaries: DataFrame) -> DataFrame:
     """Survey answers with the beneficiary's district and programme.
 

@@ -6,32 +6,46 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions import PARTS, exact_parts, exact_total, month_of, safe_ratio
-from medallion.operators import enrich_then_total, running_total
+from medallion.operators import enrich_then_total, rank_rows, running_total
 from medallion.specs import MODELS
 
 
 
-def monthly_payments(payments: DataFrame, beneficiaries: DataFrame, month: str) -> DataFrame:
-    """Payments and successes per district, programme and month, with the rate
-    and its mean over this row and the two before (rows, not calendar months)."""
-    monthly = enrich_then_total(
+def payment_counts(payments: DataFrame, beneficiaries: DataFrame, month: str) -> DataFrame:
+    """Payments and successes per district, programme and month; counts of separate sets of
+    payments add up."""
+    return enrich_then_total(
         payments, beneficiaries, "beneficiary_id", "beneficiary_key",
         [month_of("payment_date").alias(month)], ["district", "program"],
         {"total_payments": F.count(F.lit(1)),
          "successful_payments": F.count_if(F.col("payment_status") == "Success")})
-    rated = monthly.withColumn(
+
+
+def payment_rates(counts: DataFrame, month: str) -> DataFrame:
+    """Counts with the rate and its mean over this row and the two before (rows, not
+    calendar months)."""
+    rated = counts.withColumn(
         "success_rate", safe_ratio("successful_payments", "total_payments"))
     last_three = (Window.partitionBy("district", "program")
                   .orderBy(F.col(month).asc_nulls_last()).rowsBetween(-2, 0))
     return rated.withColumn("rolling", F.avg("success_rate").over(last_three))
 
 
-def mart_payment_kpis(payments: DataFrame, beneficiaries: DataFrame) -> DataFrame:
-    kpis = monthly_payments(payments, beneficiaries, "reporting_month")
+def monthly_payments(payments: DataFrame, beneficiaries: DataFrame, month: str) -> DataFrame:
+    return payment_rates(payment_counts(payments, beneficiaries, month), month)
+
+
+def payment_kpis(counts: DataFrame) -> DataFrame:
+    """The mart from its counts."""
+    kpis = payment_rates(counts, "reporting_month")
     return kpis.withColumnRenamed("rolling", "rolling_3m_avg_success_rate").select(
         *MODELS["mart_payment_kpis"].columns)
 
 
+def mart_payment_kpis(payments: DataFrame, beneficiaries: DataFrame) -> DataFrame:
+    return payment_kpis(payment_counts(payments, beneficiaries, "reporting_month"))
+
+
 def mart_donor_budget_vs_actual(donor_totals: DataFrame) -> DataFrame:
     """Variance, and rank by utilisation inside each programme."""
     by_use = Window.partitionBy("program").orderBy(F.col("utilization_pct").desc_nulls_last())
@@ -42,6 +56,14 @@ def mart_donor_budget_vs_actual(donor_totals: DataFrame) -> DataFrame:
         F.rank().over(by_use).cast("bigint").alias("utilization_rank"))
 
 
+def mart_donor_budget_many_donors(donor_totals: DataFrame) -> DataFrame:
+    """The same mart where a programme has more donors than a task should sort."""
+    ranked = rank_rows(donor_totals, ["program"], "utilization_pct", "utilization_rank")
+    return ranked.withColumn(
+        "variance", F.col("total_committed") - F.col("total_disbursed")
+    ).select(*MODELS["mart_donor_budget_vs_actual"].columns)
+
+
 def mart_refugee_assistance_summary(refugees: DataFrame, assistance: DataFrame) -> DataFrame:
     """Reach, spend and mean vulnerability per programme, modality and district.
 
@@ -74,24 +96,32 @@ def mart_refugee_assistance_summary(refugees: DataFrame, assistance: DataFrame)
         safe_ratio("_score", "_scored").alias("avg_vulnerability_score"))
 
 
-def mart_protection_caseload(protection: DataFrame) -> DataFrame:
-    """Open and total cases per month, and the running total per incident type.
-
-    Months tie between risk levels and districts, so the running total goes by
-    month, then risk level, then district.
-    """
-    monthly = protection.groupBy(
+def monthly_cases(protection: DataFrame) -> DataFrame:
+    """Open and total cases per type, risk, district and month; separate sets add up."""
+    return protection.groupBy(
         "incident_type", "risk_level", "host_district",
         month_of("incident_date").alias("incident_month"),
     ).agg(
         F.count_if(F.col("case_status") != "Closed").alias("open_cases"),
         F.count(F.lit(1)).alias("total_cases"))
+
+
+def caseload(monthly: DataFrame) -> DataFrame:
+    """Monthly cases with the running total per incident type.
+
+    Months tie between risk levels and districts, so the running total goes by
+    month, then risk level, then district.
+    """
     return running_total(
         monthly, ["incident_type"], ["incident_month", "risk_level", "host_district"],
         "total_cases", "cumulative_cases",
     ).select(*MODELS["mart_protection_caseload"].columns)
 
 
+def mart_protection_caseload(protection: DataFrame) -> DataFrame:
+    return caseload(monthly_cases(protection))
+
+
 def mart_survey_metric_trends(surveys: DataFrame, beneficiaries: DataFrame) -> DataFrame:
     """Mean surveyed value and number of answers per metric, place and month."""
     answers = surveys.drop("district", "program")

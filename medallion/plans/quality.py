@@ -1,13 +1,13 @@
 """Data-quality checks.  A check passes when it counts no violations.
 
-All not-null checks of a model share one scan, and so do all accepted-values
-checks instead of one scan per check.
+All checks on columns, of any number of models, are one pass: each model is scanned once,
+and the values that matter to a check are counted together in one exchange.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,49 +27,81 @@ def _row(kind: str, model: str, column: Column, failures: Column) -> list[Column
             column.alias("column_name"), failures.cast("bigint").alias("failures")]
 
 
+KINDS = ("not_null", "unique", "accepted_values")
+
+
+def declared(spec: ModelSpec, kinds: Sequence[str] = KINDS) -> list[tuple[str, str]]:
+    """The checks of a model as (kind, column)."""
+    columns = {"not_null": spec.not_null, "unique": spec.unique,
+               "accepted_values": list(spec.accepted)}
+    return [(k, c) for k in KINDS if k in kinds for c in columns[k]]
+
+
+def _asked(df: DataFrame, spec: ModelSpec, checks: list[tuple[str, str]],
+           number: Mapping[tuple[str, str, str], int]) -> DataFrame:
+    """The values that matter to the checks of one model, as ``check`` and ``value``: NULLs
+    of not-null columns, all values of unique ones, and values outside the accepted ones."""
+    def one(kind: str, column: str) -> Column:
+        value = F.col(column).cast("string")
+        if kind == "not_null":
+            value = F.when(F.col(column).isNull(), "")
+        elif kind == "accepted_values":
+            value = F.when(~value.isin(list(spec.accepted[column])), value)
+        return value.alias(str(number[kind, spec.name, column]))
+
+    values = [one(k, c) for k, c in checks]
+    names = [str(number[k, spec.name, c]) for k, c in checks]
+    return df.select(*values).unpivot([], names, "check", "value").where("value is not null")
+
+
+def column_checks(models: Mapping[str, DataFrame],
+                  kinds: Sequence[str] = KINDS) -> DataFrame:
+    """All declared checks of all models, each model scanned once and all values counted in
+    one exchange: ``check_type``, ``model``, ``column_name``, ``failures``, ``failing_rows``.
+
+    A failure is a NULL, a value that occurs more than once, or a distinct value outside
+    the list.  Values are counted per check, map-side first, so a value held by very many
+    rows is a row per task.
+    """
+    listed = [(k, name, c) for name in models for k, c in declared(MODELS[name], kinds)]
+    number = {check: i for i, check in enumerate(listed)}
+    frames = [_asked(df, MODELS[name], checks, number) for name, df in models.items()
+              if (checks := declared(MODELS[name], kinds))]
+    counted = _union(frames).groupBy("check", "value").agg(F.count(F.lit(1)).alias("_n"))
+    names = F.array(*(F.struct(F.lit(str(i)).alias("check"), *(
+        F.lit(x).alias(n) for n, x in zip(REPORT, check)))
+        for check, i in number.items()))
+    repeated = F.count_if(F.col("_n") > 1)
+    per_check = counted.groupBy("check").agg(
+        F.count(F.lit(1)).alias("_values"), F.sum("_n").alias("_rows"),
+        repeated.alias("_repeated"), F.coalesce(
+            F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("_copies"))
+    # one row per declared check, so that an empty table still reports it
+    spark = next(iter(models.values())).sparkSession
+    wanted = spark.range(1).select(F.inline(names))
+    kind = F.col("check_type")
+    failures = F.when(kind == "not_null", F.col("_rows")).when(
+        kind == "unique", F.col("_repeated")).otherwise(F.col("_values"))
+    failing = F.when(kind == "unique", F.col("_copies")).otherwise(F.col("_rows"))
+    return wanted.join(per_check, "check", "left").select(
+        *REPORT[:3], F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
+        F.coalesce(failing, F.lit(0)).cast("bigint").alias("failing_rows"))
+
+
 def not_null(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """NULLs per declared column, one scan for the model."""
-    counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in spec.not_null))
-    long = counts.unpivot([], list(spec.not_null), "column_name", "failures")
-    return long.select(*_row("not_null", spec.name, F.col("column_name"), F.col("failures")))
+    return column_checks({spec.name: df}, ["not_null"]).select(*REPORT)
 
 
 def unique(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """Number of values that occur more than once; NULL is not a value."""
-    def one(column: str) -> DataFrame:
-        repeated = (df.where(F.col(column).isNotNull()).groupBy(column)
-                    .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
-        return repeated.agg(F.count(F.lit(1)).alias("_n")).select(
-            *_row("unique", spec.name, F.lit(column), F.col("_n")))
-    return _union([one(c) for c in spec.unique])
+    return column_checks({spec.name: df}, ["unique"]).select(*REPORT)
 
 
 def accepted_values(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """Distinct values outside the declared list (``failures``) and the rows holding
     them (``failing_rows``); NULL passes."""
-    columns = list(spec.accepted)
-    values = df.select(*(F.col(c).cast("string") for c in columns)).unpivot(
-        [], columns, "column_name", "_value")
-    allowed = reduce(
-        lambda a, b: a | b,
-        ((F.col("column_name") == c) & F.col("_value").isin(list(v))
-         for c, v in spec.accepted.items()))
-    seen = values.groupBy("column_name", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    bad = F.col("_value").isNotNull() & ~allowed
-    per_column = seen.groupBy("column_name").agg(
-        F.count_if(bad).alias("_bad"),
-        F.coalesce(F.sum(F.when(bad, F.col("_n"))), F.lit(0)).alias("failing_rows"))
-    declared = _declared(df, columns)
-    return declared.join(per_column, "column_name", "left").select(
-        *_row("accepted_values", spec.name, F.col("column_name"),
-              F.coalesce("_bad", F.lit(0))),
-        F.coalesce("failing_rows", F.lit(0)).cast("bigint").alias("failing_rows"))
-
-
-def _declared(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per declared check, so that an empty table still reports it."""
-    names = F.array(*(F.lit(c) for c in columns))
-    return df.sparkSession.range(1).select(F.explode(names).alias("column_name"))
+    return column_checks({spec.name: df}, ["accepted_values"])
 
 
 def disbursed_over_committed(donor_mart: DataFrame, tolerance: float = 0.01) -> DataFrame:
@@ -92,15 +124,7 @@ def _singular(kind: str, model: str, violations: DataFrame) -> DataFrame:
 
 def report(models: Mapping[str, DataFrame]) -> DataFrame:
     """One row per declared check of the given models, with its verdict."""
-    frames = []
-    for name, df in models.items():
-        spec = MODELS[name]
-        if spec.not_null:
-            frames.append(not_null(df, spec))
-        if spec.unique:
-            frames.append(unique(df, spec))
-        if spec.accepted:
-            frames.append(accepted_values(df, spec).select(*REPORT))
+    frames = [column_checks(models).select(*REPORT)]
     if "mart_donor_budget_vs_actual" in models:
         frames.append(_singular(
             "disbursed_lte_committed", "mart_donor_budget_vs_actual",
@@ -128,7 +152,10 @@ def failing_rows(df: DataFrame, spec: ModelSpec, check: str, column: str) -> Dat
 
 def freshness(tables: Mapping[str, tuple[DataFrame, str]], as_of: dt.datetime,
               warn_hours: float = 24, error_hours: float = 48) -> DataFrame:
-    """Age of each table's newest row at ``as_of`` (UTC) against the two limits."""
+    """Age of each table's newest row at ``as_of`` (UTC) against the two limits.
+
+    Over ``footers.tables`` the newest date comes from the files' footers.
+    """
     moment = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
 
     def one(name: str, df: DataFrame, column: str) -> DataFrame:

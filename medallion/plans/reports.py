@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from medallion.functions import exact_sum, percent_text, safe_ratio
 from medallion.operators import (
     between_inclusive,
+    exact_quantiles,
     first_values,
     grid_long,
     histogram,
@@ -23,6 +24,7 @@ from medallion.operators import (
     pivot_grid,
     to_long,
 )
+from medallion.sources.lake import Lake
 from medallion.specs import MODELS
 
 
@@ -54,6 +56,26 @@ def payments_in_scope(mart: DataFrame, program: str | None = None,
                              "reporting_month", start, end)
 
 
+def payments_from(lake: Lake, program: str | None = None, start: object | None = None,
+                  end: object | None = None) -> DataFrame:
+    """``payments_in_scope`` of the stored mart; only files with months in range are opened.
+
+    The default programme is the first one of the whole mart.
+    """
+    name = "mart_payment_kpis"
+    chosen = F.lit(program) if program is not None else lake.read("gold", name).select(
+        F.min("program")).scalar()
+    return lake.read_range("gold", name, start, end).where(F.col("program") == chosen)
+
+
+def latest_cases(lake: Lake, incident_type: str) -> DataFrame:
+    """Cases of the newest month of the stored mart, which its zones tell."""
+    name = "mart_protection_caseload"
+    newest = lake.bounds("gold", name).first()["high"]
+    return lake.read_range("gold", name, newest, newest).where(
+        F.col("incident_type") == incident_type)
+
+
 def success_grid(scope: DataFrame) -> DataFrame:
     """District x month, mean success rate."""
     return _ordered(grid_long(scope, "district", "reporting_month", "success_rate",
@@ -208,11 +230,14 @@ def top_districts(mart: DataFrame, program: str | None = None, n: int = 12) -> D
 
 def box_by_modality(mart: DataFrame, program: str | None = None) -> DataFrame:
     """Five-number summary of the mean USD per delivery."""
-    fifths = F.percentile("avg_amount_usd", F.array(*(F.lit(p) for p in
-                                                      (0.0, 0.25, 0.5, 0.75, 1.0))))
-    box = pick_value(mart, "program", program).groupBy("modality").agg(
-        fifths.alias("_q"), F.count("avg_amount_usd").alias("points"))
-    return box.select("modality", "points", *(
+    return box(pick_value(mart, "program", program), ["modality"], "avg_amount_usd")
+
+
+def box(df: DataFrame, groups: Sequence[str], value: str,
+        piece_rows: int = 1_000_000) -> DataFrame:
+    """Points and five-number summary of a value per group, of any number of rows."""
+    fifths = exact_quantiles(df, groups, value, (0.0, 0.25, 0.5, 0.75, 1.0), "_q", piece_rows)
+    return fifths.select(*groups, F.col("n").alias("points"), *(
         F.col("_q")[i].alias(n) for i, n in
         enumerate(("minimum", "lower_quartile", "median", "upper_quartile", "maximum"))))
 

@@ -35,8 +35,3 @@ def lake(spark, tmp_path):
 def inputs(spark):
     from workload.queries import Inputs
     return Inputs(spark, SF)
-
-
-def plan_of(df) -> str:
-    """The physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()

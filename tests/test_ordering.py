@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans import plan_of
 from medallion.operators import ntile_global, number_rows, running_total
 
 

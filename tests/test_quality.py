@@ -6,7 +6,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import plan_of
+from plans import plan_of
 from medallion.plans import quality
 from medallion.specs import ModelSpec
 

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from conftest import plan_of
+from plans import plan_of
 from medallion.plans import history, kpis
 from medallion.plans.gold import Models
 from medallion.plans.staging import STAGING

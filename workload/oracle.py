@@ -505,6 +505,15 @@ def oracle_sql() -> dict[str, str]:
     # quality
     q["dq_not_null"] = statement(" UNION ALL ".join(_checks(CHECKED, {"not_null"})), *CHECKED)
     keyed = [m for m in CHECKED if MODELS[m].unique]
+    parts = []
+    for m in CHECKED:
+        parts += [c.replace("COUNT(*) AS failures", "COUNT(*) AS failures, COUNT(*) AS failing_rows")
+                  for c in _checks([m], {"not_null"})]
+        parts += _checks([m], {"accepted_values"})
+        parts += [f"SELECT 'unique', '{m}', '{c}', COUNT(*), CAST(COALESCE(SUM(n), 0) AS BIGINT) "
+                  f"FROM (SELECT COUNT(*) AS n FROM {m} WHERE {c} IS NOT NULL "
+                  f"GROUP BY {c} HAVING COUNT(*) > 1)" for c in MODELS[m].unique]
+    q["dq_column_checks"] = statement(" UNION ALL ".join(parts), *CHECKED)
     q["dq_unique"] = statement(" UNION ALL ".join(_checks(keyed, {"unique"})), *keyed)
     listed = [m for m in CHECKED if MODELS[m].accepted]
     q["dq_accepted_values"] = statement(
@@ -673,11 +682,94 @@ def oracle_sql() -> dict[str, str]:
     q["dash_cases_grid_wide"] = _wide(
         "case_scope", "host_district", "incident_month",
         "CAST(SUM({when} total_cases END) AS BIGINT)",
-        ["2024-01-01"])
+        [str(m) for m in _months("2024-01", "2025-07")])
     q["dash_success_grid_wide"] = _wide(
         "pay_scope", "district", "reporting_month", "AVG({when} success_rate END)",
         [str(m) for m in _months("1995-01", "2001-07")])
     q["dash_utilization_grid_wide"] = _wide(
         "mart_donor_budget_vs_actual", "donor", "program", "AVG({when} utilization_pct END)",
         ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"])
+    q.update(_later(q))
     return q
+
+
+def _distinct(table: str, level: str, column: str, group: str) -> str:
+    return (f"SELECT '{level}' AS level, {column} AS name, COUNT(DISTINCT refugee_id) AS refugees "
+            f"FROM {table} {group}")
+
+
+def _later(q: dict[str, str]) -> dict[str, str]:
+    """Queries over stored tables, pieces and explicit choices."""
+    out = {
+        "mart_donor_budget_many_donors": q["mart_donor_budget"],
+        "mart_donor_budget_appended": q["mart_donor_budget"],
+        "mart_payment_kpis_appended": q["mart_payment_kpis"],
+        "mart_protection_appended": q["mart_protection"],
+        "int_beneficiaries_payments_bucketed": q["int_beneficiaries_payments"],
+        "int_refugees_assistance_bucketed": q["int_refugees_assistance"],
+        "dash_payments_pruned": q["dash_payments_in_range"],
+        "dq_freshness_footers": q["dq_freshness"],
+    }
+    same = {"amount": "0", "payment_date": "DATE '1995-01-01'"}
+    cells = ", ".join(
+        f"CASE WHEN amount % 3 = 0 THEN {same.get(c, chr(39) + 'same' + chr(39))} ELSE {c} END AS {c}"
+        for c in ("payment_id", "beneficiary_id", "amount", "payment_date", "payment_mode",
+                  "payment_status", "bank_code", "transaction_ref", "disbursement_center"))
+    out["clean_dedup_digest"] = statement(
+        f"SELECT DISTINCT {cells} FROM ({_bronze('payments')})", "payments")
+    out["win_rank_hot_key"] = statement(
+        "SELECT payment_id, bank, size, RANK() OVER (PARTITION BY bank "
+        "ORDER BY size DESC NULLS LAST) AS place FROM (SELECT payment_id, "
+        "CASE WHEN amount % 3 = 0 THEN 'HOT' ELSE bank_code END AS bank, "
+        "CASE WHEN amount % 7 <> 0 THEN FLOOR(amount / 500) END AS size FROM stg_payments)",
+        "stg_payments")
+    rows = "stg_refugee_assistance"
+    out["distinct_refugees"] = statement(" UNION ALL ".join((
+        _distinct(rows, "district", "host_district", "GROUP BY 2"),
+        _distinct(rows, "program", "program", "GROUP BY 2"),
+        _distinct(rows, "all", "'all'", ""))), rows)
+    out["quantiles_payments"] = statement(
+        "SELECT payment_mode, COUNT(amount) AS n, " + ", ".join(
+            f"ROUND(QUANTILE_CONT(CAST(amount AS DOUBLE), {p}), 6) AS q{round(p * 100)}"
+            for p in (0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0))
+        + " FROM stg_payments GROUP BY payment_mode", "stg_payments")
+    out["lake_bounds"] = statement(
+        "SELECT MIN(reporting_month) AS low, MAX(reporting_month) AS high, COUNT(*) AS rows "
+        "FROM mart_payment_kpis", "mart_payment_kpis")
+    out["lake_sql"] = statement(
+        "SELECT payment_mode, COUNT(*) AS payments, MAX(amount) AS largest FROM payments "
+        "WHERE payment_status = 'Success' GROUP BY payment_mode", "payments")
+    out["layer_row_counts_footers"] = statement(" UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}"
+        for n in ALL_ENTITIES), *ALL_ENTITIES)
+    cases = "mart_protection_caseload"
+    out["dash_latest_cases"] = statement(
+        f"SELECT * FROM {cases} WHERE incident_type = 'purchase' AND incident_month = "
+        f"(SELECT MAX(incident_month) FROM {cases})", cases)
+    out["dash_cases_chosen"] = statement(
+        "SELECT incident_month, risk_level, CAST(SUM(open_cases) AS BIGINT) AS open_cases, "
+        f"CAST(SUM(total_cases) AS BIGINT) AS total_cases FROM {cases} "
+        "WHERE incident_type = 'purchase' AND risk_level IN ('Critical', 'High') AND "
+        "incident_month BETWEEN DATE '2024-03-01' AND DATE '2024-12-01' GROUP BY ALL", cases)
+    pay = ("(SELECT * REPLACE (ROUND(rolling_3m_avg_success_rate, 9) AS "
+           "rolling_3m_avg_success_rate) FROM mart_payment_kpis "
+           "WHERE program = 'MACHINERY' AND reporting_month IS NOT NULL)")
+    out["dash_payments_program"] = statement(f"SELECT * FROM {pay}", "mart_payment_kpis")
+    out["dash_series_districts"] = statement(
+        "SELECT district, reporting_month, success_rate, rolling_3m_avg_success_rate, "
+        f"total_payments FROM {pay} WHERE district IN ('NATION_3', 'NATION_7')",
+        "mart_payment_kpis")
+    donors = "mart_donor_budget_vs_actual"
+    out["dash_budget_program"] = statement(" UNION ALL ".join(
+        f"SELECT donor, program, '{label}' AS metric, {c} AS amount FROM {donors} "
+        "WHERE program = 'PROMO'" for label, c in
+        (("Committed", "total_committed"), ("Disbursed", "total_disbursed"))), donors)
+    out["dash_utilization_program"] = statement(
+        "SELECT donor, program, utilization_pct, utilization_rank, "
+        f"{_percent('utilization_pct')} AS label FROM {donors} WHERE program = 'PROMO'", donors)
+    help_ = "mart_refugee_assistance_summary"
+    out["dash_top_districts_program"] = statement(
+        f"SELECT host_district, {_money('total_amount_usd')} AS total_amount_usd FROM {help_} "
+        "WHERE program = 'MACHINERY' GROUP BY 1 ORDER BY 2 DESC NULLS LAST, 1 NULLS LAST LIMIT 5",
+        help_)
+    return out

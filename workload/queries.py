@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -18,12 +18,23 @@ from medallion.functions import (
     round_n,
     safe_ratio,
 )
-from medallion.operators import distinct_values, histogram, histogram_by, ntile_global, value_range
-from medallion.plans import cleaning, history, kpis, quality, reports
-from medallion.plans.gold import Models, build_gold
+from medallion.operators import (
+    distinct_counts,
+    distinct_state,
+    distinct_values,
+    exact_quantiles,
+    histogram,
+    histogram_by,
+    ntile_global,
+    number_values,
+    rank_rows,
+    value_range,
+)
+from medallion.plans import cleaning, history, kpis, marts, quality, reports, upkeep
+from medallion.plans.gold import SORTED_BY, Models, build_gold
 from medallion.session import scratch_dir, settle
+from medallion.sources import footers, readers, writers
 from medallion.sources import ingest as loading
-from medallion.sources import readers, writers
 from medallion.sources.avro import read_avro, stringify_all
 from medallion.sources.lake import Lake
 from medallion.specs import MODELS, SOURCES
@@ -155,6 +166,36 @@ def _agg_exact_sum(i: Inputs) -> DataFrame:
         total(lines, "tiny", "l_linestatus", F.col("l_quantity") * F.lit(1e-9), 9)])
 
 
+def _hot_program(i: Inputs) -> DataFrame:
+    """Payments with one bank in a third of the rows, and amounts that tie."""
+    amount = F.col("amount")
+    return i.stg("payments").select(
+        "payment_id", F.when(amount % 3 == 0, "HOT").otherwise(F.col("bank_code")).alias("bank"),
+        F.when(amount % 7 != 0, F.floor(amount / 500).cast("double")).alias("size"))
+
+
+def _distinct_refugees(i: Inputs) -> DataFrame:
+    """Refugees per district, per programme and in all, from one stored state."""
+    rows = i.stg("refugee_assistance")
+    numbers = number_values(rows, "refugee_id")
+    state = settle(distinct_state(rows, ["host_district", "program"], "refugee_id", numbers))
+    def level(name: str, column: Column, groups: list[str]) -> DataFrame:
+        return distinct_counts(state, groups, "refugees").select(
+            F.lit(name).alias("level"), column.alias("name"), "refugees")
+    return _union([level("district", F.col("host_district"), ["host_district"]),
+                   level("program", F.col("program"), ["program"]),
+                   level("all", F.lit("all"), [])])
+
+
+def _payment_quantiles(i: Inputs) -> DataFrame:
+    shares = (0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0)
+    found = exact_quantiles(i.stg("payments"), ["payment_mode"], "amount", shares,
+                            piece_rows=500)
+    return found.select("payment_mode", "n", *(
+        round_n(F.col("quantiles")[k], 6).alias(f"q{round(p * 100)}")
+        for k, p in enumerate(shares)))
+
+
 def _scalar_dates(i: Inputs) -> DataFrame:
     staged = i.stg("complaints").select("complaint_id", "complaint_date", "resolution_date")
     in_ms = writers.dates_to_epoch_ms(staged.select(
@@ -186,6 +227,11 @@ OPERATOR_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "win_payment_rank": lambda i: history.payment_rank(i.stg("payments")),
     "win_payment_rank_hot_keys": lambda i: history.payment_rank(i.stg("payments"), hot_rows=12),
     "agg_exact_sum": lambda i: _agg_exact_sum(i),
+    "win_rank_hot_key": lambda i: rank_rows(_hot_program(i), ["bank"], "size", "place"),
+    "distinct_refugees": _distinct_refugees,
+    "quantiles_payments": _payment_quantiles,
+    "mart_donor_budget_many_donors": lambda i: marts.mart_donor_budget_many_donors(
+        i.models["int_donor_program_aggregates"]),
     "win_payment_rank_top10": lambda i: history.payment_rank_top(i.stg("payments")),
     "hist_amount": lambda i: histogram(i.stg("payments"), "amount", 50),
     "hist_by_group": lambda i: histogram_by(
@@ -245,8 +291,19 @@ def _epoch_out_of_range(i: Inputs) -> DataFrame:
         .alias("last_updated")))
 
 
+def _third_equal(i: Inputs) -> DataFrame:
+    """Payments of which a third are one and the same row, and some others stand twice."""
+    rows = i.bronze("payments")
+    equal = F.col("amount") % 3 == 0
+    same = {"string": F.lit("same"), "bigint": F.lit(0).cast("bigint"),
+            "date": F.lit("1995-01-01").cast("date")}
+    return rows.select(*(F.when(equal, same[t]).otherwise(F.col(c)).alias(c)
+                         for c, t in rows.dtypes))
+
+
 CLEANING_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "clean_dedup": lambda i: cleaning.clean(i.bronze("payments")),
+    "clean_dedup_digest": lambda i: cleaning.clean(_third_equal(i), by_digest=True),
     "clean_empty_to_null": lambda i: cleaning.clean(i.entity("beneficiaries")),
     "clean_cast_types": lambda i: cleaning.clean(stringify_all(i.entity("beneficiaries"))),
     "clean_epoch_ms": lambda i: cleaning.clean(
@@ -373,6 +430,90 @@ def _missing_after_reload(i: Inputs) -> DataFrame:
     return loading.missing_datasets(i.spark, lake, names)
 
 
+def _layers(i: Inputs, names: Iterable[str]) -> Lake:
+    """Silver tables of the entities."""
+    lake = i.lake("silver")
+    for name in names:
+        lake.write(i.entity(name), "silver", name)
+    return lake
+
+
+def _pruned_lake(i: Inputs) -> Lake:
+    """Two marts in files of separate months."""
+    lake = i.lake("zones")
+    for name, column in SORTED_BY.items():
+        if name != "mart_survey_metric_trends":
+            lake.write(i.models[name], "gold", name, column, files=8)
+    return lake
+
+
+def _bucketed(i: Inputs, model: str, buckets: dict[str, str]) -> DataFrame:
+    """An intermediate model over silver tables dealt by the column that they join on."""
+    lake = i.lake("buckets")
+    for table, column in buckets.items():
+        lake.write(i.entity(table), "silver", table, buckets=(column, 8))
+    return Models(lambda table: lake.read("silver", table))[model]
+
+
+def _appended(i: Inputs, mart: str, fact: str, day: str) -> DataFrame:
+    """A mart made from the rows before a day and kept up when the later ones are appended."""
+    lake, rows = i.lake("upkeep"), i.entity(fact)
+    for table in upkeep.KEPT[mart].others:
+        lake.write(i.entity(table), "silver", table)
+    early = F.coalesce(F.col(day) < "1998-01-01", F.lit(True))
+    lake.write(rows.where(early), "silver", fact)
+    upkeep.keep_up(lake, mart)
+    lake.append(rows.where(~early), "silver", fact)
+    upkeep.keep_up(lake, mart)
+    return lake.read("gold", mart)
+
+
+def _lake_sql(i: Inputs) -> DataFrame:
+    """A silver table under its own name in SQL."""
+    lake = _layers(i, ["payments"])
+    lake.register("silver", "payments")
+    return i.spark.sql("SELECT payment_mode, count(*) AS payments, max(amount) AS largest "
+                       "FROM payments WHERE payment_status = 'Success' GROUP BY payment_mode")
+
+
+def _footer_counts(i: Inputs) -> DataFrame:
+    lake = _layers(i, ENTITY_SQL)
+    return cleaning.row_counts(footers.tables(lake, "silver", list(ENTITY_SQL)))
+
+
+def _footer_freshness(i: Inputs) -> DataFrame:
+    lake = _layers(i, SOURCES)
+    stored = footers.tables(lake, "silver", list(SOURCES))
+    return quality.freshness(
+        {n: (stored[n], s.freshness_column) for n, s in SOURCES.items()},
+        dt.datetime.fromisoformat(FRESH_AS_OF))
+
+
+LAKE_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
+    "lake_bounds": lambda i: _pruned_lake(i).bounds("gold", "mart_payment_kpis"),
+    "lake_sql": _lake_sql,
+    "layer_row_counts_footers": _footer_counts,
+    "dq_freshness_footers": _footer_freshness,
+    "int_beneficiaries_payments_bucketed": lambda i: _bucketed(
+        i, "int_beneficiaries_payments",
+        {"beneficiaries": "beneficiary_id", "payments": "beneficiary_id"}),
+    "int_refugees_assistance_bucketed": lambda i: _bucketed(
+        i, "int_refugees_assistance",
+        {"afghan_refugees": "refugee_id", "refugee_assistance": "refugee_id"}),
+    "mart_payment_kpis_appended": lambda i: _settled(
+        _appended(i, "mart_payment_kpis", "payments", "payment_date"),
+        "rolling_3m_avg_success_rate"),
+    "mart_donor_budget_appended": lambda i: _appended(
+        i, "mart_donor_budget_vs_actual", "donor_reports", "disbursement_date"),
+    "mart_protection_appended": lambda i: _appended(
+        i, "mart_protection_caseload", "refugee_protection", "incident_date"),
+    "dash_payments_pruned": lambda i: _settled(reports.payments_from(
+        _pruned_lake(i), start=dt.date(1996, 3, 1), end=dt.date(1997, 2, 1)),
+        "rolling_3m_avg_success_rate"),
+    "dash_latest_cases": lambda i: reports.latest_cases(_pruned_lake(i), "purchase"),
+}
+
+
 FILE_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "src_csv_gz": _file_roundtrip("beneficiaries", "csv.gz"),
     "src_parquet": _file_roundtrip("payments", "parquet"),
@@ -397,8 +538,10 @@ FILE_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
 
 # --- quality ---------------------------------------------------------------------------
 
-def _each(i: Inputs, check: Callable, declared: Callable) -> DataFrame:
-    return _union([check(_stored(i, m), MODELS[m]) for m in CHECKED if declared(MODELS[m])])
+def _checks(i: Inputs, *kinds: str) -> DataFrame:
+    return quality.column_checks(
+        {m: i.models[m] for m in CHECKED
+         if any(k in kinds for k, _ in quality.declared(MODELS[m]))}, kinds)
 
 
 def _planted_payments(i: Inputs) -> DataFrame:
@@ -432,16 +575,12 @@ def _planted_invariants(i: Inputs) -> DataFrame:
             "cumulative_cases", -F.col("cumulative_cases")))
 
 
-def _stored(i: Inputs, model: str) -> DataFrame:
-    """Marts as tables, so that each is computed once for all its checks."""
-    return i.gold(model) if MODELS[model].layer == "marts" else i.models[model]
-
-
 QUALITY_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
-    "dq_not_null": lambda i: _each(i, quality.not_null, lambda s: s.not_null),
-    "dq_unique": lambda i: _each(i, quality.unique, lambda s: s.unique),
-    "dq_accepted_values": lambda i: _each(i, quality.accepted_values, lambda s: s.accepted),
-    "dq_report": lambda i: quality.report({m: _stored(i, m) for m in CHECKED}),
+    "dq_not_null": lambda i: _checks(i, "not_null").drop("failing_rows"),
+    "dq_unique": lambda i: _checks(i, "unique").drop("failing_rows"),
+    "dq_accepted_values": lambda i: _checks(i, "accepted_values"),
+    "dq_column_checks": lambda i: _checks(i, *quality.KINDS),
+    "dq_report": lambda i: quality.report({m: i.models[m] for m in CHECKED}),
     "dq_disbursed_lte_committed": lambda i: quality.disbursed_over_committed(
         i.models["mart_donor_budget_vs_actual"]),
     "dq_amount_positive": lambda i: quality.amount_not_positive(i.stg("payments")),
@@ -505,6 +644,17 @@ DASHBOARD_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dash_month_range": lambda i: value_range(_payments(i), "reporting_month"),
     "dash_payments_in_range": lambda i: _payments(
         i, start=dt.date(1996, 3, 1), end=dt.date(1997, 2, 1)),
+    "dash_payments_program": lambda i: _payments(i, program="MACHINERY"),
+    "dash_series_districts": lambda i: reports.payment_series(
+        _payments(i, program="MACHINERY"), districts=["NATION_3", "NATION_7"]),
+    "dash_budget_program": lambda i: reports.budget_long(_donors(i), program="PROMO"),
+    "dash_utilization_program": lambda i: reports.utilization_ranked(
+        _donors(i), program="PROMO"),
+    "dash_cases_chosen": lambda i: reports.cases_by_risk(reports.cases_in_scope(
+        _case_mart(i), incident_type="purchase", start=dt.date(2024, 3, 1),
+        end=dt.date(2024, 12, 1), risks=["Critical", "High"])),
+    "dash_top_districts_program": lambda i: reports.top_districts(
+        _help(i), program="MACHINERY", n=5),
     "dash_distinct_values": lambda i: distinct_values(_payments(i), "district"),
     "dash_success_grid": lambda i: reports.success_grid(_payments(i)),
     "dash_success_grid_wide": lambda i: reports.success_grid_wide(_payments(i)),
@@ -537,7 +687,7 @@ def queries() -> dict[str, Query]:
     plans: dict[str, Callable[[Inputs], DataFrame]] = {
         **{key: _model(name) for key, name in MODEL_KEYS.items()},
         "mart_payment_kpis": _payment_mart,
-        **KPI_KEYS, **OPERATOR_KEYS, **CLEANING_KEYS, **FILE_KEYS, **QUALITY_KEYS,
+        **KPI_KEYS, **OPERATOR_KEYS, **CLEANING_KEYS, **FILE_KEYS, **LAKE_KEYS, **QUALITY_KEYS,
         **DASHBOARD_KEYS,
     }
 
