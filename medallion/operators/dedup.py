@@ -18,6 +18,8 @@ shuffling, as for stored tables, and rows are wide.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,14 +52,22 @@ def repeated_filter(df: DataFrame) -> DataFrame:
         F.bit_or(_mask(F.col("_d2"))).alias("_bits"))
 
 
-def distinct_by_digest(df: DataFrame) -> DataFrame:
-    """The rows of ``df.distinct()``."""
+def mark_repeated(df: DataFrame, by: Sequence[str], out: str) -> DataFrame:
+    """``df`` plus a flag: false for a row that is surely the only one with its values of
+    ``by``, true for all others (and a few more by chance).  No row is shuffled."""
     # by position, so that no column name can clash with those of the filter
-    rows = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
-    first, second = _digest(rows)
-    bits = F.broadcast(repeated_filter(rows))
+    names = [f"c{i}" for i in range(len(df.columns))]
+    rows, columns = df.toDF(*names), [names[df.columns.index(c)] for c in by]
+    first, second = _digest(rows.select(*columns))
+    bits = F.broadcast(repeated_filter(rows.select(*columns)))
     marked = rows.withColumns({"_w": _word(first), "_m": _mask(second)}).join(bits, "_w", "left")
     inside = F.coalesce(F.col("_bits").bitwiseAND(F.col("_m")) == F.col("_m"), F.lit(False))
-    alone = marked.where(~inside).select(*rows.columns)
-    copied = marked.where(inside).select(*rows.columns)
+    return marked.select(*names, inside.alias("_in")).toDF(*df.columns, out)
+
+
+def distinct_by_digest(df: DataFrame) -> DataFrame:
+    """The rows of ``df.distinct()``."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    marked = mark_repeated(df.toDF(*names), names, "_in")
+    alone, copied = (marked.where(c).drop("_in") for c in ("not _in", "_in"))
     return alone.unionByName(copied.dropDuplicates()).toDF(*df.columns)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -45,8 +46,8 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``order`` must be unique per key.  Its first column is the coarse step (a
     day, a month): rows are summed inside a step, and the total of all earlier
     steps is added.  One task holds one step of one key, or one row per step.
-    Both halves read ``df`` from a stored copy: it is an aggregate, far smaller
-    than the facts behind it, which are scanned once.
+    An action: both halves read ``df`` from a copy that is stored when this is called.  It
+    is an aggregate, far smaller than the facts behind it, which are scanned once.
     """
     df = settle(df, "running-total")
     step, rest = order[0], list(order[1:])
@@ -151,6 +152,12 @@ def rank_rows(df: DataFrame, keys: Sequence[str], highest_first: str, out: str,
         *df.columns, (F.col("_inside") + F.col("_before")).cast("bigint").alias(out))
 
 
+def _common_front(df: DataFrame, order: str) -> int:
+    """Bytes that all texts of a column begin with, by its smallest and largest; a job."""
+    ends = df.agg(F.min(order), F.max(order)).first()
+    return len(os.path.commonprefix([(t or "").encode() for t in ends]))
+
+
 def _as_number(df: DataFrame, order: str) -> tuple[Column, Column]:
     """A DOUBLE that sorts like ``order``, and whether it stands for one value only."""
     kind, c = df.schema[order].dataType, F.col(order)
@@ -160,7 +167,9 @@ def _as_number(df: DataFrame, order: str) -> tuple[Column, Column]:
         x = (F.unix_micros(c) if isinstance(kind, T.TimestampType) else c).cast("double")
         return x, F.abs(x) < F.lit(float(1 << 53))
     if isinstance(kind, T.StringType):
-        front = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        # six bytes from where the values first differ
+        front = F.rpad(F.hex(F.substring(c.cast("binary"), _common_front(df, order) + 1, 6)),
+                       12, "0")
         return F.conv(front, 16, 10).cast("double"), F.lit(False)
     if isinstance(kind, T.DecimalType):
         return c.cast("double"), F.lit(False)
@@ -185,7 +194,8 @@ def _cut_points(df: DataFrame, number: Column, cuts: int) -> list[float]:
     return sorted({p for p in found or [] if math.isfinite(p)}) or [0.0]
 
 
-def _bucket(df: DataFrame, order: str, tie: str, points: list[float]) -> DataFrame:
+def _bucket(df: DataFrame, number: tuple[Column, Column], tie: str,
+            points: list[float]) -> DataFrame:
     """Add ``_bucket``, a BIGINT that sorts like ``order`` and then ``md5(tie)``.
 
     A bucket holds either the rows equal to one cut point (or NULL, or NaN), of one
@@ -193,7 +203,7 @@ def _bucket(df: DataFrame, order: str, tie: str, points: list[float]) -> DataFra
     may stand for several values (texts with a common front, very large LONGs), its
     rows are one bucket.
     """
-    value, single = _as_number(df, order)
+    value, single = number
     placed = Bucketizer(
         splits=[-math.inf, *points, math.inf], inputCol="_x", outputCol="_slot",
         handleInvalid="keep").transform(df.withColumns({"_x": value, "_single": single}))
@@ -233,7 +243,8 @@ def ntile_global(df: DataFrame, tiles: int, order: str, tie: str, out: str,
     ``df`` is read four times (narrow columns twice); store it first when it is
     the result of a costly plan.
     """
-    placed = _bucket(df, order, tie, _cut_points(df, _as_number(df, order)[0], cuts))
+    number = _as_number(df, order)
+    placed = _bucket(df, number, tie, _cut_points(df, number[0], cuts))
     counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     ordered = Window.orderBy("_bucket")
     layout = counts.select(

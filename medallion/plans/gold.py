@@ -69,8 +69,9 @@ SORTED_BY = {"mart_payment_kpis": "reporting_month", "mart_protection_caseload":
 def build_gold(lake: Lake) -> dict[str, int]:
     """Write every mart once as a gold table; returns the new version per mart."""
     models = Models(lambda table: lake.read("silver", table))
-    marts_to_build = {n: models[n] for n, spec in MODELS.items() if spec.layer == "marts"}
+    wanted = [n for n, spec in MODELS.items() if spec.layer == "marts"]
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
-        done = pool.map(lambda n: lake.write(
-            marts_to_build[n], "gold", n, SORTED_BY.get(n)), marts_to_build)
-        return {n: snapshot.version for n, snapshot in zip(marts_to_build, done)}
+        # a mart is asked for by the thread that writes it, so that no mart waits for the
+        # stored counts of another
+        done = pool.map(lambda n: lake.write(models[n], "gold", n, SORTED_BY.get(n)), wanted)
+        return {n: snapshot.version for n, snapshot in zip(wanted, done)}

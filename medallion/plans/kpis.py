@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions import days_between, exact_avg, exact_sum, round_n, safe_ratio
-from medallion.operators import ntile_global, running_total
+from medallion.operators import list_in_order, ntile_global, running_total
+from medallion.operators.enrich import join_null_safe
 from medallion.plans.marts import monthly_payments
 
 
@@ -102,31 +103,52 @@ def critical_items(inventory: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("items"))
 
 
+PLACE = ("warehouse", "program", "item_type")
+
+
+def _counted_items(inventory: DataFrame) -> DataFrame:
+    """Items and low items per place and name that ran out; all other names together."""
+    low = F.col("quantity") < F.col("reorder_level")
+    ran_out = F.when(F.col("quantity") == 0, F.col("item_name"))
+    return inventory.groupBy(*PLACE, ran_out.alias("_name")).agg(
+        F.count(F.lit(1)).alias("_items"), F.count_if(low).alias("_low"))
+
+
+def _alerts(totals: DataFrame) -> DataFrame:
+    return _in_order(
+        totals.select(*PLACE, "total_items", "items_below_reorder",
+                      round_n(safe_ratio("items_below_reorder", "total_items"), 4)
+                      .alias("alert_pct"), "critical_items"),
+        *PLACE)
+
+
+_TOTALS = {"total_items": "_items", "items_below_reorder": "_low"}
+
+
 def inventory_reorder_alerts(inventory: DataFrame) -> DataFrame:
     """Items below reorder level, and the names of items that ran out.
 
     Items are first counted per name that ran out, all others together.  That
     hash aggregate takes the bulk of the rows; the string aggregate sees one row
     per group plus one per such name, and repeats a name as often as it occurs.
-    ``critical_items`` has the same names as rows, for places with very many.
+    ``critical_items`` has the same names as rows, and ``inventory_reorder_alerts_in_pieces``
+    makes the same text where a place has very many.
     """
-    place = ["warehouse", "program", "item_type"]
-    low = F.col("quantity") < F.col("reorder_level")
-    ran_out = F.when(F.col("quantity") == 0, F.col("item_name"))
-    counted = inventory.groupBy(*place, ran_out.alias("_name")).agg(
-        F.count(F.lit(1)).alias("_items"), F.count_if(low).alias("_low"))
-    named = counted.withColumn("_names", F.when(
+    named = _counted_items(inventory).withColumn("_names", F.when(
         F.col("_name").isNotNull(),
         F.array_join(F.array_repeat("_name", F.col("_items").cast("int")), ", ")))
-    alerts = named.groupBy(*place).agg(
-        F.sum("_items").alias("total_items"),
-        F.sum("_low").alias("items_below_reorder"),
-        F.expr("listagg(_names, ', ') within group (order by _name)").alias("critical_items"))
-    return _in_order(
-        alerts.select(*place, "total_items", "items_below_reorder",
-                      round_n(safe_ratio("items_below_reorder", "total_items"), 4)
-                      .alias("alert_pct"), "critical_items"),
-        *place)
+    return _alerts(named.groupBy(*PLACE).agg(
+        *(F.sum(c).alias(n) for n, c in _TOTALS.items()),
+        F.expr("listagg(_names, ', ') within group (order by _name)").alias("critical_items")))
+
+
+def inventory_reorder_alerts_in_pieces(inventory: DataFrame,
+                                       pieces: int | None = None) -> DataFrame:
+    """The same alerts where one place may hold very many names or copies of one name."""
+    counted = _counted_items(inventory)
+    totals = counted.groupBy(*PLACE).agg(*(F.sum(c).alias(n) for n, c in _TOTALS.items()))
+    lists = list_in_order(counted, PLACE, "_name", "_items", "critical_items", pieces=pieces)
+    return _alerts(join_null_safe(totals, lists, PLACE, "left"))
 
 
 def refugee_return_intention(refugees: DataFrame) -> DataFrame:

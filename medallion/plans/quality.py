@@ -55,7 +55,8 @@ def _asked(df: DataFrame, spec: ModelSpec, checks: list[tuple[str, str]],
 
 
 def column_checks(models: Mapping[str, DataFrame],
-                  kinds: Sequence[str] = KINDS) -> DataFrame:
+                  kinds: Sequence[str] = KINDS,
+                  specs: Mapping[str, ModelSpec] = MODELS) -> DataFrame:
     """All declared checks of all models, each model scanned once and all values counted in
     one exchange: ``check_type``, ``model``, ``column_name``, ``failures``, ``failing_rows``.
 
@@ -63,10 +64,10 @@ def column_checks(models: Mapping[str, DataFrame],
     the list.  Values are counted per check, map-side first, so a value held by very many
     rows is a row per task.
     """
-    listed = [(k, name, c) for name in models for k, c in declared(MODELS[name], kinds)]
+    listed = [(k, name, c) for name in models for k, c in declared(specs[name], kinds)]
     number = {check: i for i, check in enumerate(listed)}
-    frames = [_asked(df, MODELS[name], checks, number) for name, df in models.items()
-              if (checks := declared(MODELS[name], kinds))]
+    frames = [_asked(df, specs[name], checks, number) for name, df in models.items()
+              if (checks := declared(specs[name], kinds))]
     counted = _union(frames).groupBy("check", "value").agg(F.count(F.lit(1)).alias("_n"))
     names = F.array(*(F.struct(F.lit(str(i)).alias("check"), *(
         F.lit(x).alias(n) for n, x in zip(REPORT, check)))
@@ -90,18 +91,18 @@ def column_checks(models: Mapping[str, DataFrame],
 
 def not_null(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """NULLs per declared column, one scan for the model."""
-    return column_checks({spec.name: df}, ["not_null"]).select(*REPORT)
+    return column_checks({spec.name: df}, ["not_null"], {spec.name: spec}).select(*REPORT)
 
 
 def unique(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """Number of values that occur more than once; NULL is not a value."""
-    return column_checks({spec.name: df}, ["unique"]).select(*REPORT)
+    return column_checks({spec.name: df}, ["unique"], {spec.name: spec}).select(*REPORT)
 
 
 def accepted_values(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """Distinct values outside the declared list (``failures``) and the rows holding
     them (``failing_rows``); NULL passes."""
-    return column_checks({spec.name: df}, ["accepted_values"])
+    return column_checks({spec.name: df}, ["accepted_values"], {spec.name: spec})
 
 
 def disbursed_over_committed(donor_mart: DataFrame, tolerance: float = 0.01) -> DataFrame:

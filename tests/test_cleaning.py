@@ -7,8 +7,8 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-
 from plans import plan_of
+
 from medallion.plans.cleaning import clean, invariants, reconcile, row_counts, silver_type
 
 RELAXED = settings(max_examples=12, deadline=None,

@@ -1,0 +1,32 @@
+"""Ordered lists from pieces, against plain Python."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from medallion.operators import list_in_order, listing
+
+
+@pytest.mark.parametrize("pieces", [1, 7, 40])
+def test_lists_of_skewed_keys(spark, pieces, monkeypatch):
+    monkeypatch.setattr(listing, "CHUNK", 5)
+    rng = random.Random(pieces)
+    names = ["", "a", "aa", "b, c", "é", "漢", "z"] + [f"n{i:03d}" for i in range(150)]
+    counted = {(rng.choice(["hot", "hot", "x", None]), rng.choice(names)): rng.randrange(1, 23)
+               for _ in range(400)}
+    rows = [(k, n, c) for (k, n), c in counted.items()] + [("x", None, 9), ("only", None, 2),
+                                                           ("none", "q", 0)]
+    df = spark.createDataFrame(rows, "k string, name string, copies bigint")
+    got = {r["k"]: r["list"] for r in list_in_order(
+        df, ["k"], "name", "copies", "list", pieces=pieces).collect()}
+    want = {}
+    for (k, n), c in sorted(counted.items(), key=lambda x: x[0][1].encode()):
+        want.setdefault(k, []).extend([n] * c)
+    assert got == {k: ", ".join(v) for k, v in want.items()}
+
+
+def test_an_empty_table_has_no_lists(spark):
+    df = spark.createDataFrame([], "k string, name string, copies bigint")
+    assert list_in_order(df, ["k"], "name", "copies", "list").count() == 0

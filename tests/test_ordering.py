@@ -8,9 +8,9 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-
 from plans import plan_of
-from medallion.operators import ntile_global, number_rows, running_total
+
+from medallion.operators import ntile_global, number_rows, ordering, running_total
 
 
 def md5(s):
@@ -123,3 +123,22 @@ def test_ntile_plan_sorts_buckets_not_the_table(spark, tmp_path):
     # the only single-partition exchange is over bucket counts
     for part in plan.split("Exchange SinglePartition")[1:]:
         assert part.lstrip(" ,\n").split("HashAggregate", 1)[1].startswith("(keys=[_bucket")
+
+
+def test_tiles_of_texts_with_a_long_common_front(spark):
+    """Texts are cut where they first differ, so no bucket holds them all."""
+    front = "the same long beginning of every text "
+    rows = [(f"k{i}", None if i % 50 == 0 else front + f"{i * 7919 % 1000:04d}")
+            for i in range(1000)]
+    df = spark.createDataFrame([*rows, ("front", front)], "id string, v string")
+    got = {r["id"]: r["tile"] for r in ntile_global(df, 8, "v", "id", "tile", cuts=31).collect()}
+    order = sorted([*rows, ("front", front)], key=lambda r: (
+        r[1] is None, (r[1] or "").encode(), md5(r[0]), r[0]))
+    size, extra = divmod(len(order), 8)
+    at = 0
+    for tile in range(1, 9):
+        n = size + (tile <= extra)
+        assert {got[r[0]] for r in order[at:at + n]} == {tile}
+        at += n
+    number, _ = ordering._as_number(df, "v")
+    assert df.where("v is not null").select(number).distinct().count() > 900

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
-
 from plans import plan_of
+from pyspark.sql import functions as F
+
 from medallion.plans import quality
-from medallion.specs import ModelSpec
+from medallion.session import settle
+from medallion.specs import MODELS, ModelSpec
 
 SPEC = ModelSpec("m", "staging", ("k",), ("k", "s", "g"), ("k", "s"), ("k",),
                  {"s": ("a", "b"), "g": ("x",)})
@@ -88,3 +91,30 @@ def test_one_scan_for_all_not_null_checks(spark, table, tmp_path):
     plan = plan_of(quality.not_null(spark.read.parquet(path), SPEC))
     assert plan.count("FileScan") == 1
     assert "k:string,s:string" in plan and "g:string" not in plan
+
+
+def test_all_column_checks_are_one_scan_per_model_and_one_exchange(spark, inputs):
+    names = ["stg_payments", "stg_complaints", "stg_surveys"]
+    models = {n: settle(inputs.models[n]) for n in names}
+    plan = plan_of(quality.column_checks(models))
+    assert plan.count("FileScan parquet") == len(names)
+    assert len(re.findall(r"Exchange hashpartitioning\(check#\d+, value#\d+", plan)) == 1
+    counted = {tuple(r[:3]): r["failures"] for r in quality.column_checks(models).collect()}
+    for name in names:
+        for kind, column in quality.declared(MODELS[name]):
+            values = models[name].select(F.col(column).cast("string").alias("v"))
+            if kind == "not_null":
+                want = values.where("v is null").count()
+            elif kind == "unique":
+                want = values.where("v is not null").groupBy("v").count().where("count > 1").count()
+            else:
+                want = values.where(~F.col("v").isin(list(MODELS[name].accepted[column]))
+                                    ).distinct().count()
+            assert counted[kind, name, column] == want
+
+
+def test_column_checks_of_empty_models(spark, inputs):
+    empty = {n: inputs.models[n].where("false") for n in ("stg_payments", "stg_complaints")}
+    rows = quality.column_checks(empty).collect()
+    assert len(rows) == sum(len(quality.declared(MODELS[n])) for n in empty)
+    assert all(r["failures"] == r["failing_rows"] == 0 for r in rows)

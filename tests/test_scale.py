@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 
 import pytest
-
 from plans import plan_of
+
 from medallion.plans import history, kpis
 from medallion.plans.gold import Models
 from medallion.plans.staging import STAGING

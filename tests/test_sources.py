@@ -10,8 +10,8 @@ import os
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-
 from plans import plan_of
+
 from medallion.sources import ingest as loading
 from medallion.sources import readers, storage, writers
 from medallion.sources.avro import has_avro_module, read_avro, stringify_all, write_avro

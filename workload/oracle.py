@@ -707,7 +707,6 @@ def _later(q: dict[str, str]) -> dict[str, str]:
         "mart_protection_appended": q["mart_protection"],
         "int_beneficiaries_payments_bucketed": q["int_beneficiaries_payments"],
         "int_refugees_assistance_bucketed": q["int_refugees_assistance"],
-        "dash_payments_pruned": q["dash_payments_in_range"],
         "dq_freshness_footers": q["dq_freshness"],
     }
     same = {"amount": "0", "payment_date": "DATE '1995-01-01'"}
@@ -742,6 +741,20 @@ def _later(q: dict[str, str]) -> dict[str, str]:
     out["layer_row_counts_footers"] = statement(" UNION ALL ".join(
         f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}"
         for n in ALL_ENTITIES), *ALL_ENTITIES)
+    out["ntile_by_text"] = statement(
+        "SELECT beneficiary_key, name, NTILE(25) OVER (ORDER BY name NULLS LAST, "
+        "md5(beneficiary_key), beneficiary_key) AS tile FROM stg_beneficiaries",
+        "stg_beneficiaries")
+    places = "CASE WHEN length(item_name) % 3 = 0 THEN 'HOT' ELSE {c} END AS {c}"
+    out["kpi_inventory_reorder_hot_place"] = statement(
+        "SELECT warehouse, program, item_type, COUNT(*) AS total_items, "
+        "COUNT(*) FILTER (WHERE quantity < reorder_level) AS items_below_reorder, "
+        "ROUND(COUNT(*) FILTER (WHERE quantity < reorder_level) / COUNT(*), 4) AS alert_pct, "
+        "STRING_AGG(item_name, ', ' ORDER BY item_name) FILTER (WHERE quantity = 0) "
+        "AS critical_items FROM (SELECT item_name, reorder_level, "
+        + ", ".join(places.format(c=c) for c in ("warehouse", "program", "item_type"))
+        + ", CASE WHEN length(item_name) % 3 = 0 THEN quantity % 2 ELSE quantity END AS quantity "
+        "FROM stg_inventory) GROUP BY ALL", "stg_inventory")
     cases = "mart_protection_caseload"
     out["dash_latest_cases"] = statement(
         f"SELECT * FROM {cases} WHERE incident_type = 'purchase' AND incident_month = "

@@ -117,6 +117,14 @@ def _payment_mart(i: Inputs) -> DataFrame:
     return _settled(i.models["mart_payment_kpis"], "rolling_3m_avg_success_rate")
 
 
+def _hot_place(i: Inputs) -> DataFrame:
+    """Inventory with a third of its items in one place, many of them out of stock."""
+    hot = F.length("item_name") % 3 == 0
+    return i.stg("inventory").withColumns({
+        **{c: F.when(hot, "HOT").otherwise(F.col(c)) for c in kpis.PLACE},
+        "quantity": F.when(hot, F.col("quantity") % 2).otherwise(F.col("quantity"))})
+
+
 KPI_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "kpi_budget_vs_actual": lambda i: kpis.budget_vs_actual(i.stg("donor_reports")),
     "kpi_payment_success": lambda i: kpis.payment_success_rates(
@@ -125,6 +133,8 @@ KPI_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "kpi_protection": lambda i: kpis.protection_caseload(i.stg("refugee_protection")),
     "kpi_complaint_resolution": lambda i: kpis.complaint_resolution(i.stg("complaints")),
     "kpi_inventory_reorder": lambda i: kpis.inventory_reorder_alerts(i.stg("inventory")),
+    "kpi_inventory_reorder_hot_place": lambda i: kpis.inventory_reorder_alerts_in_pieces(
+        _hot_place(i), pieces=12),
     "kpi_return_intention": lambda i: kpis.refugee_return_intention(i.stg("afghan_refugees")),
     "kpi_invariants": lambda i: quality.kpi_invariants(
         i.models["mart_donor_budget_vs_actual"], i.models["mart_payment_kpis"],
@@ -224,6 +234,9 @@ OPERATOR_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
         20, "payment_date", "payment_id", "tile"),
     "ntile_by_amount": lambda i: ntile_global(
         i.stg("payments").select("payment_id", "amount"), 50, "amount", "payment_id", "tile"),
+    "ntile_by_text": lambda i: ntile_global(
+        i.stg("beneficiaries").select("beneficiary_key", "name"),
+        25, "name", "beneficiary_key", "tile"),
     "win_payment_rank": lambda i: history.payment_rank(i.stg("payments")),
     "win_payment_rank_hot_keys": lambda i: history.payment_rank(i.stg("payments"), hot_rows=12),
     "agg_exact_sum": lambda i: _agg_exact_sum(i),
@@ -507,9 +520,6 @@ LAKE_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
         i, "mart_donor_budget_vs_actual", "donor_reports", "disbursement_date"),
     "mart_protection_appended": lambda i: _appended(
         i, "mart_protection_caseload", "refugee_protection", "incident_date"),
-    "dash_payments_pruned": lambda i: _settled(reports.payments_from(
-        _pruned_lake(i), start=dt.date(1996, 3, 1), end=dt.date(1997, 2, 1)),
-        "rolling_3m_avg_success_rate"),
     "dash_latest_cases": lambda i: reports.latest_cases(_pruned_lake(i), "purchase"),
 }
 
@@ -642,8 +652,9 @@ DASHBOARD_KEYS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dash_extract_assistance": lambda i: reports.extract(
         _help(i), "mart_refugee_assistance_summary"),
     "dash_month_range": lambda i: value_range(_payments(i), "reporting_month"),
-    "dash_payments_in_range": lambda i: _payments(
-        i, start=dt.date(1996, 3, 1), end=dt.date(1997, 2, 1)),
+    "dash_payments_in_range": lambda i: _settled(reports.payments_from(
+        _pruned_lake(i), start=dt.date(1996, 3, 1), end=dt.date(1997, 2, 1)),
+        "rolling_3m_avg_success_rate"),
     "dash_payments_program": lambda i: _payments(i, program="MACHINERY"),
     "dash_series_districts": lambda i: reports.payment_series(
         _payments(i, program="MACHINERY"), districts=["NATION_3", "NATION_7"]),
