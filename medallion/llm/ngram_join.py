@@ -20,9 +20,11 @@ n-grams are fetched, a pair must pass the bounds on its sizes and on 1,024 parit
 n-gram flips one bit; bits that differ cannot be more than n-grams that differ).
 
 Groups of near copies would have pairs in the square of their size.  So a list first gives
-the pairs of its smallest member with the others; the components of those that link are
-merged; only then are pairs listed whose ends are in different components.  No link between
-components is lost, and links inside one change nothing.  Equal sets are one row throughout.
+the pairs of its smallest member with the others, and the components of those that link are
+merged.  Then, for up to ``ROUNDS`` turns, a list gives the pairs of one member of its largest
+component with one of each other.  Only then are all pairs listed whose ends are in different
+components.  No link between components is lost, and links inside one change nothing.  Equal
+sets are one row throughout.
 
 Documents are not shuffled: their n-grams are computed twice, once for the blocks, once for
 the documents in candidate pairs, told by a bit filter of fixed size (what passes it by
@@ -49,6 +51,7 @@ from medallion.llm.simhash import components
 
 FILTER_BITS = 1 << 25
 PARITY_BITS = 1024
+ROUNDS = 2
 COLUMN_BLOCK = 4096  # n-grams of a document whose overlap is added up at once
 
 
@@ -249,6 +252,36 @@ def _described(pairs: DataFrame, sets: DataFrame, ends: str) -> DataFrame:
     return pairs
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``set`` and ``root`` after the components of linked sets are joined."""
+    ends = (labels.select(F.col("set").alias(e), F.col("root").alias(f"_{e}")) for e in "ab")
+    for end in ends:
+        links = links.join(end, end.columns[0])
+    tops = components(links.select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+    return store(labels.join(tops.select(F.col("node").alias("root"), F.col("root").alias("_t")),
+                             "root", "left").select("set", F.coalesce("_t", "root").alias("root")),
+                 "components")
+
+
+def _mixed(listed: DataFrame, labels: DataFrame) -> DataFrame:
+    """``block``, ``set``, ``root`` of the lists that hold several components."""
+    placed = listed.select("block", "set").join(labels, "set")
+    mixed = placed.groupBy("block").agg(F.min("root").alias("_r"), F.max("root").alias("_s"))
+    return placed.join(mixed.where("_r < _s").select("block"), "block")
+
+
+def _hub_pairs(placed: DataFrame, turn: int) -> DataFrame:
+    """Per list one member of its largest component, with one of each other component; the
+    members are drawn by list, so a set meets another member in each of its lists."""
+    drawn = F.xxhash64(F.lit(turn), "block", "set")
+    parts = placed.groupBy("block", "root").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct(drawn.alias("h"), "set")).alias("_m"))
+    hubs = parts.groupBy("block").agg(F.max(F.struct("_n", "root", "_m.set")).alias("_hub"))
+    return parts.join(hubs, "block").where(F.col("root") != F.col("_hub.root")).select(
+        F.least("_m.set", "_hub.set").alias("a"),
+        F.greatest("_m.set", "_hub.set").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 3,
                     num: int = 9, den: int = 10, carry: list[str] | None = None) -> DataFrame:
     """The ``carry`` columns (default: all) plus ``n_shingles`` and ``component_id``.
@@ -276,36 +309,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
         F.col("centre").alias("a"), F.col("set").alias("b")).distinct()
     stars = _described(stars, sets, "ab").where(_possible("_a", "_b", num, den)).select("a", "b")
 
-    names = listed.select("set").distinct().join(sets.select("set", "hi", "lo"), "set")
+    names = store(listed.select("set").distinct().join(sets.select("set", "hi", "lo"), "set"),
+                  "listed-sets")
     grams = store(_fetched(docs, text, n, names.select("hi", "lo")).join(
         names, ["hi", "lo"]).select("set", "grams"), "candidate-ngrams")
-    edges = store(_checked(stars, grams, bounds), "star-links")
-    roots = store(components(edges), "star-components")
-
-    def rooted(rows: DataFrame) -> DataFrame:
-        return rows.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn(
-            "root", F.coalesce("root", "set"))
-
-    placed = rooted(listed.select("block", "set"))
-    mixed = placed.groupBy("block").agg(F.min("root").alias("_r"), F.max("root").alias("_s")).where(
-        "_r < _s").select("block")
-    # sizes and parities are compared in the join: it makes no pair that they rule out
-    placed = placed.join(mixed, "block").join(sets.select("set", "n", *_PARITIES), "set")
+    labels = names.select("set", F.col("set").alias("root"))
+    labels = _merged(labels, _checked(stars, grams, bounds))
+    for turn in range(ROUNDS):
+        hubs = _hub_pairs(_mixed(listed, labels), turn)
+        hubs = _described(hubs, sets, "ab").where(_possible("_a", "_b", num, den))
+        found = store(_checked(hubs.select("a", "b"), grams, bounds), "hub-links")
+        if found.isEmpty():
+            break
+        labels = _merged(labels, found)
+
+    # what is left: sizes and parities are compared in the join, which makes no pair that
+    # they rule out
+    placed = _mixed(listed, labels).join(sets.select("set", "n", *_PARITIES), "set")
     left, right = (placed.select("block", *(
         F.col(c).alias(f"{c}_{end}") for c in ("set", "root", "n", *_PARITIES))) for end in "ab")
     across = left.join(right, [
         left["block"] == right["block"], F.col("set_a") < F.col("set_b"),
         F.col("root_a") != F.col("root_b"), _possible("_a", "_b", num, den)]).select(
         F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
-    more = _checked(across, grams, bounds)
-    # links between components hang one root to the other
-    joined = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("_ra")),
-                       "a", "left").join(
-        roots.select(F.col("node").alias("b"), F.col("root").alias("_rb")), "b", "left").select(
-        F.coalesce("_ra", "a").alias("a"), F.coalesce("_rb", "b").alias("b")).distinct()
-    tops = components(joined).select(F.col("node").alias("root"), F.col("root").alias("_top"))
-    classes = rooted(sets.select("set", "hi", "lo", "least")).join(tops, "root", "left").select(
-        "hi", "lo", "least", F.coalesce("_top", "root").alias("root"))
+    labels = _merged(labels, _checked(across, grams, bounds))
+
+    classes = sets.select("set", "hi", "lo", "least").join(labels, "set", "left").withColumn(
+        "root", F.coalesce("root", "set"))
     ids = classes.groupBy("root").agg(F.min("least").alias("_id"))
     classes = classes.join(ids, "root").select("hi", "lo", "_id")
 
