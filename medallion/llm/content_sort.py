@@ -25,11 +25,14 @@ from pyspark.sql import functions as F
 from medallion.llm.common import free_names, quoted, store, text_of
 
 
+RANGE_BYTES = 128 << 20  # of text in a range partition
+
+
 def sorted_runs(docs: DataFrame, key: str, normal: Column, carry: list[Column], keep: str,
                 lane_rows: int) -> DataFrame:
     """``carry`` plus per row: ``sha``, ``lane``, ``nth`` of its piece, and the piece's
     ``head`` key and ``n`` rows.  One range shuffle of the texts."""
-    rows = docs.count()
+    rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length(normal))).first()
     lanes = max(1, -(-rows // lane_rows))
     id_ = F.col(quoted(key))
     placed = docs.select(
@@ -38,7 +41,9 @@ def sorted_runs(docs: DataFrame, key: str, normal: Column, carry: list[Column],
         "_front": F.substring(F.col("_content"), 1, 16),
         "_hash": F.xxhash64("_content"),
         "_lane": F.pmod(F.xxhash64(F.col("_key")), F.lit(lanes))})
-    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # adaptive execution does not split a range number that is given: it follows the input
+    width = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                -(-(size or 0) // RANGE_BYTES))
     range_key = ["_front", "_hash", "_lane"]
     placed = placed.repartitionByRange(width, *range_key)
     # partitioned by the range key already: the window adds a sort, not a shuffle
