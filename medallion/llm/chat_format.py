@@ -3,15 +3,18 @@
 A layout is a set of field paths and a declarative mapping to canonical turns, an
 array of (role, text).  The fingerprint of a record is the hash of the known
 paths it has; it selects the mapping, so records of different layouts can stand
-in one column of JSON texts.  A table's layout is read off its schema.
+in one column of JSON texts.  A record has a path when its key is there, whatever the value:
+NULL, in any element of a list, or with an empty list.  A table's layout is read off its
+schema.
 
 Turns are written as ``<|im_start|>role\\ntext<|im_end|>\\n``.  Inside texts a backslash
 goes between ``<`` and ``|`` (one more where backslashes stand there already), so no
 control string can appear and unescaping is exact.  Roles are URL-encoded.
 
 Edge cases: NULL roles and texts are empty; turns with equal numbers go by role
-and text; a record of no known layout has NULL turns; an empty table gives an
-empty result.
+and text; an empty list is a record without turns; a record of no known layout, or that is
+no JSON object, has NULL turns; result names that exist get underscores in front; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -113,19 +116,31 @@ def canonical_table(df: DataFrame, key: str) -> DataFrame:
 def canonical_json(df: DataFrame, column: str, turns: str = "turns") -> DataFrame:
     """``df`` plus canonical turns of a column of JSON records, one layout per record."""
     record = F.col(quoted(column))
-    present = F.array_compact(F.array(*(
-        F.when(F.get_json_object(record, "$." + p.replace("[]", "[0]")).isNotNull(), F.lit(p))
-        for p in KNOWN)))
+    turns, *parsed, listed = free_names(
+        df, turns, *(f"_record{i}" for i in range(len(LAYOUTS))), "_lists")
+    lists = sorted({p.split("[]")[0] for p in KNOWN if "[]" in p})
+    keys = F.coalesce(F.call_function("json_object_keys", record), F.array().cast("array<string>"))
+
+    def has(path: str) -> Column:
+        if "[]." not in path:
+            return F.array_contains(keys, path)
+        name, leaf = path.split("[].")
+        found = F.col(listed)[name]
+        return F.coalesce((F.size(found) == 0) | F.exists(
+            found, lambda m: F.map_contains_key(m, leaf)), F.lit(False))
+
+    present = F.array_compact(F.array(*(F.when(has(p), F.lit(p)) for p in KNOWN)))
     mark = F.sha2(F.array_join(present, "\n").cast("binary"), 256)
     layouts = [(mark_, layout) for mark_, layout in BY_FINGERPRINT.items() if layout.turns]
-    parsed = free_names(df, *(f"_record{i}" for i in range(len(layouts))))
     with_records = df.withColumns({
-        name: F.from_json(record, layout.schema) for name, (_, layout) in zip(parsed, layouts)})
+        listed: F.from_json(record, ", ".join(f"{n} array<map<string,string>>" for n in lists)),
+        **{name: F.from_json(record, layout.schema)
+           for name, (_, layout) in zip(parsed, layouts)}})
     chosen = F.lit(None).cast(TURNS)
     for name, (mark_, layout) in zip(parsed, layouts):
         mapped = F.expr(layout.turns.format(r=f"`{name}`.")).cast(TURNS)
         chosen = F.when(mark == mark_, mapped).otherwise(chosen)
-    return with_records.withColumn(turns, chosen).drop(*parsed)
+    return with_records.withColumn(turns, chosen).drop(listed, *parsed)
 
 
 # --- the template -------------------------------------------------------------------
@@ -147,9 +162,10 @@ def format_turns(df: DataFrame, turns: str = "turns", train_on: str = "assistant
         F.concat(F.lit(START), F.url_encode(t["role"]), F.lit("\n")).alias("head"),
         escape(t["text"]).alias("body"), (t["role"] == train_on).alias("train")))
     tail = END + "\n"
-    with_pieces = df.withColumn("_pieces", pieces)
+    formatted, loss_spans, parts = free_names(df, "formatted", "loss_spans", "_pieces")
+    with_pieces = df.withColumn(parts, pieces)
     spans = F.aggregate(
-        "_pieces",
+        F.col(parts),
         F.struct(F.lit(0).cast("bigint").alias("at"),
                  F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")),
         lambda acc, p: F.struct(
@@ -161,9 +177,9 @@ def format_turns(df: DataFrame, turns: str = "turns", train_on: str = "assistant
                 .alias("end"))))).otherwise(acc["spans"]).alias("spans")),
         lambda acc: acc["spans"])
     return with_pieces.withColumns({
-        "formatted": F.array_join(F.transform(
-            "_pieces", lambda p: F.concat(p["head"], p["body"], F.lit(tail))), ""),
-        "loss_spans": spans}).drop("_pieces")
+        formatted: F.array_join(F.transform(
+            F.col(parts), lambda p: F.concat(p["head"], p["body"], F.lit(tail))), ""),
+        loss_spans: spans}).drop(parts)
 
 
 def read_turns(formatted: Column) -> Column:
