@@ -17,6 +17,7 @@ import functools
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +86,8 @@ def token_count(text: Column, model_path: str, slice_bytes: int = 1 << 20,
         for batch in batches:
             texts = ["" if t is None else t for t in batch.to_pylist()]
             out: list[int] = []
-            for a, b in byte_slices(list(map(len, texts)), slice_bytes):
+            sizes = pc.fill_null(pc.binary_length(batch), 0).to_pylist()  # UTF-8 bytes
+            for a, b in byte_slices(sizes, slice_bytes):
                 out += lengths.count(texts[a:b])
             yield pa.array(out, pa.int64())
 
