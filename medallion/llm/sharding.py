@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from medallion.llm.common import free_names, quoted, store, text_of
 from medallion.operators import mark_repeated
 
-RUN_BYTES = 128 << 20  # of neighbouring buckets that one task shuffles and writes
+RUN_BYTES = 32 << 20  # of neighbouring buckets that one task shuffles and writes
 
 
 def record_size(text: str = "text") -> Column:
@@ -95,9 +95,9 @@ def shuffled(docs: DataFrame, columns: dict[str, Column], key: str, text: str, s
         "_run", "_bucket").agg(F.array_sort(F.collect_list("_row"), _by_hash).alias("_rows"))
     order = fisher_yates(F.size("_rows"), lambda i: F.xxhash64(F.lit(seed + 2), "_bucket", i))
     mixed = store(listed.select("_bucket", "_rows", order.alias("_order")).select(
-        "_bucket", F.transform("_order", lambda i: F.get("_rows", i)).alias("_rows")),
-        "shuffled-buckets")
-    sizes = mixed.select("_bucket", F.size("_rows").cast("bigint").alias("_n"))
+        "_bucket", F.size("_rows").cast("bigint").alias("_n"),
+        F.transform("_order", lambda i: F.get("_rows", i)).alias("_rows")), "shuffled-buckets")
+    sizes = mixed.select("_bucket", "_n")  # without reading the records
     # stored, so that Spark knows its size when it chooses the join: one short row per bucket
     before = store(sizes.select(
         F.col("_bucket").alias("_b"),
