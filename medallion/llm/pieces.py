@@ -4,12 +4,15 @@ For a merge-type vocabulary every prefix of a text has exactly one last token.
 It is found left to right: an automaton lists the tokens ending at a
 position; the right one stands at the start of the text or is compatible with
 the last token of the prefix before it, that is, encoding the two strings together
-gives just these two tokens.  The ids are recovered backwards from the end.
+gives just these two tokens.  The ids are recovered backwards from the end.  The
+table depends on the prefix alone, so strings are taken in order and each starts
+with the part of the table that it shares with the one before.
 
 A string for which none fits (a vocabulary with odd merges) is merged pair by
 pair instead, which is the definition.  Segments are the parts of a text between
 places no piece spans; their ids are kept in a cache of bounded size, so the
-table is filled once for a word that occurs often.
+table is filled once for a word that occurs often.  Texts are taken in slices of about
+``SLICE_BYTES``, whose segments that are not in the cache are encoded first.
 
 Characters outside the vocabulary become their UTF-8 byte tokens.  Decoding
 joins the pieces, turns byte tokens back into UTF-8, space marks into spaces and
@@ -26,22 +29,31 @@ import hashlib
 import math
 import struct
 from collections.abc import Iterator
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import Recent, free_names, front_marks_only, segments, text_of
+from medallion.llm.common import (
+    Recent,
+    byte_slices,
+    free_names,
+    front_marks_only,
+    segments,
+    text_of,
+)
 
 MARK = "▁"
 DIGEST = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 ENCODED = "struct<ids:array<int>,decoded:string>"
+SLICE_BYTES = 4 << 20
 
 
 class PrefixTable:
     """One vocabulary: pieces, scores, automaton and remembered pair tests."""
 
-    def __init__(self, model_path: str, cache_entries: int = 300_000):
+    def __init__(self, model_path: str, cache_entries: int = 800_000):
         import ahocorasick
         import sentencepiece
 
@@ -62,12 +74,15 @@ class PrefixTable:
         for p, i in self.id.items():
             self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
+        self.packed = [struct.pack("<I", i) for i in range(size)]
+        self.odd = frozenset([*self.byte_of, self.unk])
+        self.before, self.table = "", [-1]
         self.inside = {p[i:i + 2] for p in self.id for i in range(len(p) - 1)}
         self.shown = [p.replace(MARK, " ") for p in self.piece]
         self.pairs: dict[int, bool] = {}
         self.edges: dict[str, tuple[list, list] | None] = {}
-        self.known = Recent(self._coded, cache_entries)
-        self.parts = Recent(self._part, cache_entries)
+        self.known = Recent(lambda s: self._whole(self.cut(s)), cache_entries)
+        self.parts = Recent(self._coded, cache_entries)
         self.pair_limit = 1_000_000
 
     def merge(self, symbols: str) -> list[str]:
@@ -134,11 +149,17 @@ class PrefixTable:
     def tokens(self, marked: str) -> list[int]:
         """Ids of a string of characters that are pieces."""
         n, pairs, piece = len(marked), self.pairs, self.piece
-        last = [-1] * (n + 1)
+        shared = 0
+        for a, b in zip(self.before, marked):
+            if a != b:
+                break
+            shared += 1
+        last = self.table[:shared + 1] + [-1] * (n - shared)
         # several tokens may end at a position; exactly one fits, so the first that
         # does ends the search
+        done = shared - 1
         for end, (token, size) in self.automaton.iter(marked):
-            if last[end + 1] >= 0:
+            if end <= done:
                 continue
             start = end + 1 - size
             if start:
@@ -150,6 +171,8 @@ class PrefixTable:
                 fits = self._edges(piece[token]) is not None
             if fits:
                 last[end + 1] = token
+                done = end
+        self.before, self.table = marked, last
         if len(pairs) > self.pair_limit:
             pairs.clear()
         out = []
@@ -168,36 +191,58 @@ class PrefixTable:
             return (self.id[part],)
         return tuple(self.byte_id[b] for b in part.encode()) if self.byte_id else (self.unk,)
 
-    def ids(self, segment: str) -> tuple[int, ...]:
-        """Ids of a segment, cut again where two characters stand in no piece together."""
-        marked = MARK + segment.replace(" ", MARK)
-        cuts = [i for i in range(1, len(marked)) if marked[i - 1:i + 1] not in self.inside]
-        if not cuts:
-            return self._part(marked)
-        return tuple(i for a, b in zip([0, *cuts], [*cuts, len(marked)])
-                     for i in self.parts[marked[a:b]])
+    def cut(self, segment: str) -> list[str]:
+        """A segment, cut again where two characters stand in no piece together."""
+        marked, inside = MARK + segment.replace(" ", MARK), self.inside
+        if inside.issuperset(map(add, marked, marked[1:])):
+            return [marked]
+        cuts = [i for i in range(1, len(marked)) if marked[i - 1:i + 1] not in inside]
+        return [marked[a:b] for a, b in zip([0, *cuts], [*cuts, len(marked)])]
 
     def text(self, ids: tuple[int, ...]) -> str:
         """Pieces of one segment as text, its front space included."""
-        if self.byte_of.keys().isdisjoint(ids) and self.unk not in ids:
+        if self.odd.isdisjoint(ids):
             return "".join(map(self.shown.__getitem__, ids))
         raw = b"".join(
             bytes((self.byte_of[i],)) if i in self.byte_of else
             " ⁇ ".encode() if i == self.unk else self.shown[i].encode() for i in ids)
         return raw.decode(errors="replace")
 
-    def _coded(self, segment: str) -> tuple[bytes, str]:
-        ids = self.ids(segment)
-        return struct.pack(f"<{len(ids)}I", *ids), self.text(ids)
+    def _coded(self, part: str) -> tuple[bytes, str]:
+        ids = self._part(part)
+        return b"".join([self.packed[i] for i in ids]), self.text(ids)
+
+    def _whole(self, parts: list[str]) -> tuple[bytes, str]:
+        """A segment from its parts, none of which ends inside a character."""
+        if len(parts) == 1:
+            return self.parts[parts[0]]
+        found = [self.parts[p] for p in parts]
+        return b"".join([p[0] for p in found]), "".join([p[1] for p in found])
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian 32-bit integers, begin and end included; the decoded text."""
-        parts = list(map(self.known.__getitem__, segments(text)))
-        self.known.age()
-        self.parts.age()
-        ids = b"".join([struct.pack("<I", self.bos), *[p[0] for p in parts],
-                        struct.pack("<I", self.eos)])
-        return ids, "".join([p[1] for p in parts])[1:]
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
+        """``encode`` of each text."""
+        known, parts = self.known, self.parts
+        begin, end = struct.pack("<I", self.bos), struct.pack("<I", self.eos)
+        for a, b in byte_slices([len(t) for t in texts], SLICE_BYTES):
+            rows = [segments(t) for t in texts[a:b]]
+            new = [s for s in set().union(*rows) if s not in known and s not in known.older]
+            cut = list(map(self.cut, new))
+            unknown = [p for p in set().union(*cut) if p not in parts and p not in parts.older]
+            for p in sorted(unknown):  # neighbours share the front of their tables
+                parts[p] = self._coded(p)
+            for s, c in zip(new, cut):
+                known[s] = self._whole(c)
+            del new, cut, unknown
+            for row in rows:
+                found = [known[s] for s in row]
+                yield (b"".join([begin, *[p[0] for p in found], end]),
+                       "".join([p[1] for p in found])[1:])
+            known.age()
+            parts.age()
 
 
 @functools.lru_cache(maxsize=2)
@@ -220,7 +265,7 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text",
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = prefix_table(model_path)
         for texts in _texts(batches):
-            rows = [table.encode(t) for t in texts]
+            rows = list(table.encode_all(texts))
             yield pa.StructArray.from_arrays(
                 [pa.array([list(struct.unpack(f"<{len(i) // 4}I", i)) for i, _ in rows],
                           pa.list_(pa.int32())),
@@ -240,8 +285,7 @@ def piece_digests(docs: DataFrame, model_path: str, text: str = "text") -> DataF
         table = prefix_table(model_path)
         for texts in _texts(batches):
             counts, ids_sha, text_sha = [], [], []
-            for t in texts:
-                ids, back = table.encode(t)
+            for ids, back in table.encode_all(texts):
                 counts.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(back.encode()).hexdigest())

@@ -1,4 +1,4 @@
-"""What a review measured: bytes that op2 sends and keeps."""
+"""What a review measured: bytes that op2 sends and keeps, work that op5 repeats."""
 
 import glob
 import os
@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-from medallion.llm import common, suffix_tree
+from medallion.llm import common, pieces, suffix_tree
 from medallion.llm.bytewords import words_of
+from medallion.llm.queries import model_path
 
 
 def _chunk(texts):
@@ -66,3 +67,29 @@ def test_a_stored_result_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not files() - before
     assert stored.count() == 1000 and spark.conf.get(common._CLEANUP) == setting
+
+
+def test_a_part_is_encoded_once_whatever_stands_beside_it(monkeypatch):
+    seen, plain = [], pieces.PrefixTable._part
+    monkeypatch.setattr(pieces.PrefixTable, "_part",
+                        lambda self, part: seen.append(part) or plain(self, part))
+    table = pieces.PrefixTable(model_path())
+    for text in ("thereof and\nthereof", "thereof\nand thereof", "and\tand thereof"):
+        table.encode(text)
+    assert len(seen) == len(set(seen))
+
+
+def test_slices_and_shared_fronts_change_no_id(monkeypatch):
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=model_path())
+    rng = random.Random(7)
+    letters = ["th", "e", "in", "er", ".", ",", "\n", " ", "  ", "é", "語", "🙂", "▁", "A", "1", "\0"]
+    texts = ["", " ", "a ", *("".join(rng.choices(letters, k=rng.randint(1, 60)))
+                              for _ in range(400))]
+    monkeypatch.setattr(pieces, "SLICE_BYTES", 300)
+    table = pieces.PrefixTable(model_path(), cache_entries=20)
+    for text, (ids, back) in zip(texts, table.encode_all(texts), strict=True):
+        want = lib.encode(text, add_bos=True, add_eos=True)
+        assert np.frombuffer(ids, "<u4").tolist() == want, text
+        assert back == lib.decode(want), text
