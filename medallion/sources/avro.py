@@ -1,8 +1,8 @@
 """Avro files whose fields are all nullable strings.
 
 Spark's own Avro source is used when its module is on the class path.  Without it,
-files are read through Hadoop's Avro text input format, whose JSON lines are stored in
-the scratch folder and parsed by Spark, all in the JVM; writing needs the module.
+files are read through Hadoop's Avro text input format, whose JSON lines are stored
+(gzipped) in the scratch folder and parsed by Spark, all in the JVM; writing needs the module.
 """
 
 from __future__ import annotations
@@ -49,9 +49,10 @@ def read_avro(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
         return spark.read.schema(schema).format("avro").load(path)
     jvm, lines = spark._jvm, scratch_dir(spark, "avro-lines")
     loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    reader, text = (loader.loadClass(n) for n in (
-        "org.apache.avro.mapred.AvroAsTextInputFormat", "org.apache.hadoop.io.Text"))
-    spark.sparkContext._jsc.hadoopFile(path, reader, text, text).keys().saveAsTextFile(lines)
+    reader, text, gzip = (loader.loadClass(n) for n in (
+        "org.apache.avro.mapred.AvroAsTextInputFormat", "org.apache.hadoop.io.Text",
+        "org.apache.hadoop.io.compress.GzipCodec"))
+    spark.sparkContext._jsc.hadoopFile(path, reader, text, text).keys().saveAsTextFile(lines, gzip)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(lines)
 
 

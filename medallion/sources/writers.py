@@ -39,12 +39,16 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.parquet(path, compression="snappy")
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    dates_to_epoch_ms(df).write.json(path, ignoreNullFields=False)
+def write_json(df: DataFrame, path: str, compression: str | None = None) -> None:
+    dates_to_epoch_ms(df).write.json(path, compression=compression, ignoreNullFields=False)
+
+
+def write_json_gz(df: DataFrame, path: str) -> None:
+    write_json(df, path, compression="gzip")
 
 
 WRITERS = {"csv": write_csv_gz, "csv.gz": write_csv_gz, "parquet": write_parquet,
-           "json": write_json, "avro": write_avro}
+           "json": write_json, "json.gz": write_json_gz, "avro": write_avro}
 
 
 def write_one(df: DataFrame, path: str, fmt: str) -> None:

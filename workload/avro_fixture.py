@@ -65,6 +65,8 @@ def _part_writer(folder: str, columns: list[str], block_rows: int = 4096):
         {"name": c, "type": ["null", "string"]} for c in columns]})
 
     def write(batches):
+        import zlib
+
         import pandas as pd
         from pyarrow import fs as arrow_fs
 
@@ -86,12 +88,13 @@ def _part_writer(folder: str, columns: list[str], block_rows: int = 4096):
         with system.open_output_stream(f"{base}/{name}") as sink:
             sink.write(b"Obj\x01" + number(2)
                        + text("avro.schema") + text(schema)
-                       + text("avro.codec") + text("null")
+                       + text("avro.codec") + text("deflate")
                        + number(0) + marker)
             for batch in batches:
                 for start in range(0, len(batch), block_rows):
                     block = batch["record"].iloc[start:start + block_rows]
-                    body = b"".join(block)
+                    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+                    body = packer.compress(b"".join(block)) + packer.flush()
                     sink.write(number(len(block)) + number(len(body)) + body + marker)
         yield pd.DataFrame({"file": [name]})
 
