@@ -37,3 +37,12 @@ def test_sinks_take_a_few_times_the_table(spark, scratch):
         ("csv", "parquet", "json", "avro"), 60_000)
     stored = sum(_bytes(f"{scratch}/{d}") for d in os.listdir(scratch) if "settled" in d)
     assert _bytes(scratch) < 10 * stored
+
+
+def test_sources_and_their_lines_are_packed(spark, scratch):
+    i = Inputs(spark, SF)
+    assert {r.table_name: r.row_count for r in queries._ingest_all(i).collect()}[
+        "refugee_assistance"] == 60_000
+    of = {kind: sum(_bytes(f"{scratch}/{d}") for d in os.listdir(scratch) if d.startswith(kind))
+          for kind in ("lake", "sources", "avro-lines")}
+    assert of["sources"] + of["avro-lines"] < 2.5 * of["lake"]

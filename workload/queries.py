@@ -413,15 +413,21 @@ def _sinks_read(i: Inputs, rows: DataFrame, folder: str) -> DataFrame:
 
 def _write_sources(i: Inputs, names: list[str]) -> str:
     folder = i.scratch("sources")
+
+    def write(name: str) -> None:
+        source = SOURCES[name]
+        avro_fixture.write_one(i.entity(name), f"{folder}/{source.file}",
+                               PACKED.get(source.format, source.format))
+
     with ThreadPoolExecutor(loading.PARALLEL_JOBS) as pool:
-        list(pool.map(lambda n: avro_fixture.write_one(
-            i.entity(n), f"{folder}/{SOURCES[n].file}", SOURCES[n].format), names))
+        list(pool.map(write, names))
     return folder
 
 
 def _ingest(i: Inputs, names: list[str]) -> Lake:
     lake = i.lake("lake")
-    loading.ingest(i.spark, _write_sources(i, names), lake, names)
+    with shuffles_freed(i.spark):
+        loading.ingest(i.spark, _write_sources(i, names), lake, names)
     return lake
 
 
