@@ -266,9 +266,12 @@ def _clean_monotonic(i: Inputs) -> DataFrame:
 
 
 def _clean_invariants(i: Inputs) -> DataFrame:
-    return _union([
-        cleaning.invariants(b, cleaning.clean(b)).select(F.lit(n).alias("table_name"), "*")
-        for n, b in ((n, i.bronze(n)) for n in ENTITY_SQL)])
+    """One table after the other, so that the shuffle files of one are there at a time."""
+    with shuffles_freed(i.spark):
+        return _union([
+            settle(cleaning.invariants(b, cleaning.clean(b)).select(
+                F.lit(n).alias("table_name"), "*"), "invariants")
+            for n, b in ((n, i.bronze(n)) for n in ENTITY_SQL)])
 
 
 def _counts(i: Inputs, cleaned: bool) -> DataFrame:
